@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from ..schema import (
     AMPLITUDE_KEYS, BRAND_KEYS, CATEGORY_KEYS, SELLER_KEYS, STAR_LEVELS, STOCK_ITEM_KEYS,
@@ -119,7 +120,7 @@ def stars(review: Column) -> Column:
         empty = value.isin("", "false", "[]") | (value.try_cast("double") == 0)
         return (
             F.when(_is_object(value), F.when(count.isNotNull() | percent.isNotNull(), packed))
-            .when(~F.coalesce(empty, F.lit(False)), bare)
+            .when(value.isNotNull() & ~F.coalesce(empty, F.lit(False)), bare)
         )
 
     return F.concat_ws(";", *[entry(level) for level in STAR_LEVELS])
@@ -130,7 +131,7 @@ def sold_quantity(text: Column) -> Column:
     return F.when(_is_object(text), F.get_json_object(text, "$.value")).otherwise(text).try_cast("double")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
