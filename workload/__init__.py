@@ -1,6 +1,6 @@
 """Queries over the supplied tables, each with the SQL it is checked against."""
 
-from . import business_queries, cleaning_queries, ingest_queries  # noqa: F401
+from . import business_queries, cleaning_queries, ingest_queries, screening_queries  # noqa: F401
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
