@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..schema import NAME_KEYWORDS
+from .text import SPACE, to_double
 
 _SIZE = r"([0-9]+(?:\.[0-9]+)?)"
 
 
 def _number(name: Column, pattern: str) -> Column:
     plain = F.replace(F.lower(name), F.lit(","), F.lit("."))
-    return F.nullif(F.regexp_extract(plain, f"(?U){pattern}", 1), F.lit("")).try_cast("double")
+    return to_double(F.regexp_extract(plain, pattern, 1))
 
 
 def storage_gb(name: Column) -> Column:
     """First terabyte size (times 1024), else first gigabyte size."""
-    return F.coalesce(_number(name, _SIZE + r"\s*tb") * 1024, _number(name, _SIZE + r"\s*gb"))
+    return F.coalesce(_number(name, _SIZE + SPACE + "*tb") * 1024, _number(name, _SIZE + SPACE + "*gb"))
 
 
 def ram_gb(name: Column) -> Column:
-    return _number(name, r"ram\s*" + _SIZE + r"\s*gb")
+    return _number(name, f"ram{SPACE}*" + _SIZE + SPACE + "*gb")
 
 
 def inches(name: Column) -> Column:
-    return _number(name, _SIZE + r'\s*(?:inch|inches|")')
+    return _number(name, _SIZE + SPACE + '*(?:inch|inches|")')
 
 
 def has_keyword(name: Column, word: str) -> Column:

@@ -7,13 +7,17 @@ import re
 from pyspark.sql import Column, functions as F
 
 from ..schema import BADGE_WORDS
-from .text import strip
+from .text import SPACE, look_up, strip, to_integer
 
 
-def _last_match(text: Column, entry: str, group: int = 1) -> Column:
+def _last_match(text: Column, entry: str) -> Column:
     # The greedy prefix makes the last entry of that form win; `regexp_extract`
     # gives '' when there is none.
-    return F.regexp_extract(text, rf"(?sU)^(?:.*;)?\s*{entry}", group)
+    return F.regexp_extract(text, rf"(?s)^(?:.*;)?{SPACE}*{entry}", 1)
+
+
+def _kv_text(text: Column, key: str) -> Column:
+    return strip(_last_match(text, rf"{re.escape(key)}{SPACE}*:([^;]*)"))
 
 
 def kv_value(text: Column, key: str) -> Column:
@@ -21,15 +25,12 @@ def kv_value(text: Column, key: str) -> Column:
 
     The last entry of a repeated key wins; null when absent or empty.
     """
-    return F.nullif(strip(_last_match(text, rf"{re.escape(key)}\s*:([^;]*)")), F.lit(""))
+    return F.nullif(_kv_text(text, key), F.lit(""))
 
 
 def kv_entries(text: Column) -> Column:
     """All entries as `array<struct<k, v>>`; of a repeated key only the last."""
-    parts = F.filter(
-        F.transform(F.split(text, ";"), strip),
-        lambda part: F.instr(part, ":") > 0,
-    )
+    parts = F.filter(F.split(text, ";"), lambda part: F.instr(part, ":") > 0)
     entries = F.transform(
         parts,
         lambda part: F.struct(
@@ -37,43 +38,46 @@ def kv_entries(text: Column) -> Column:
             strip(F.regexp_replace(part, r"(?s)^[^:]*:", "")).alias("v"),
         ),
     )
-    keys = F.transform(entries, lambda entry: entry["k"])
-    return F.filter(
-        entries,
-        lambda entry, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys) + 1), entry["k"]),
-    )
+
+    def last_of_each(es: Column) -> Column:
+        later = lambda i: F.slice(es, i + 2, F.size(es))
+        return F.filter(es, lambda e, i: ~F.exists(later(i), lambda other: other["k"] == e["k"]))
+
+    # The one-element array binds the entries, which are then computed once.
+    return F.element_at(F.transform(F.array(entries), last_of_each), 1)
 
 
 def kv_flag(text: Column, key: str) -> Column:
     """Boolean entry; any other text (such as `None`) is null."""
-    word = F.lower(kv_value(text, key))
-    return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
+    return look_up({"true": True, "false": False}, F.lower(_kv_text(text, key)))
 
 
 def kv_number(text: Column, key: str) -> Column:
     """Numeric entry, thousands commas dropped; else null."""
-    digits = strip(F.regexp_replace(kv_value(text, key), ",", ""))
+    digits = strip(F.replace(_kv_text(text, key), F.lit(","), F.lit("")))
     return F.when(digits.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), digits.try_cast("double"))
 
 
 def brand_id(text: Column) -> Column:
     """First number after `id:`."""
-    return F.nullif(F.regexp_extract(text, r"(?U)\bid\s*:\s*([0-9]+)", 1), F.lit("")).try_cast("bigint")
+    return to_integer(F.regexp_extract(text, rf"\bid{SPACE}*:{SPACE}*([0-9]+)", 1))
 
 
 def brand_name(text: Column) -> Column:
     """Everything after the first `name:`."""
-    return F.nullif(strip(F.regexp_extract(strip(text), r"(?U)\bname\s*:\s*(.+)$", 1)), F.lit(""))
+    return F.nullif(strip(F.regexp_extract(strip(text), rf"\bname{SPACE}*:{SPACE}*(.+)$", 1)), F.lit(""))
 
 
 def star_part(text: Column, level: int, part: str) -> Column:
-    """`count` or `percent` of one star level; entries holding `None` do not count."""
-    found = _last_match(
-        text,
-        rf"{level}\s*:\s*count_([0-9]+)\s*,\s*percent_([0-9]+)",
-        1 if part == "count" else 2,
-    )
-    return F.nullif(found, F.lit("")).try_cast("bigint")
+    """`count` or `percent` of one star level; entries holding `None` do not count.
+
+    Both parts come from one match, which is evaluated once per row.
+    """
+    entry = rf"{level}{SPACE}*:{SPACE}*count_([0-9]+{SPACE}*,{SPACE}*percent_[0-9]+)"
+    found = _last_match(text, entry)
+    if part == "count":
+        return to_integer(F.substring_index(found, ",", 1))
+    return to_integer(F.substring_index(found, "percent_", -1))
 
 
 def badge_flag(text: Column, suffix: str) -> Column:

@@ -12,7 +12,12 @@ from pyspark.sql.types import StringType
 from ..schema import (
     AMPLITUDE_KEYS, BRAND_KEYS, CATEGORY_KEYS, SELLER_KEYS, STAR_LEVELS, STOCK_ITEM_KEYS,
 )
-from .text import strip
+from .text import strip, to_double
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def shown(value: Column) -> Column:
@@ -77,7 +82,8 @@ def category(text: Column) -> Column:
         _is_list(text),
         F.try_element_at(F.from_json(text, "array<string>"), F.lit(-1)),
     )
-    return pack_object(F.when(_is_object(leaf), F.from_json(leaf, fields)), CATEGORY_KEYS)
+    parsed = let(leaf, lambda item: F.when(_is_object(item), F.from_json(item, fields)))
+    return let(parsed, lambda obj: pack_object(obj, CATEGORY_KEYS))
 
 
 def benefits_count(text: Column) -> Column:
@@ -111,24 +117,37 @@ def stars(review: Column) -> Column:
     source = F.when(_is_object(top), top).otherwise(review["rating_summary"]["stars"])
     by_level = F.from_json(F.when(_is_object(source), source), "map<string,string>")
 
-    def entry(level: int) -> Column:
-        value = F.try_element_at(by_level, F.lit(str(level)))
-        count = F.get_json_object(value, "$.count")
-        percent = F.get_json_object(value, "$.percent")
+    def from_object(level: int, parsed: Column) -> Column:
+        count, percent = parsed["count"], parsed["percent"]
         packed = F.concat(F.lit(f"{level}:count_"), shown(count), F.lit(",percent_"), shown(percent))
-        bare = F.concat(F.lit(f"{level}:count_"), shown(value), F.lit(",percent_None"))
-        empty = value.isin("", "false", "[]") | (value.try_cast("double") == 0)
+        return F.when(count.isNotNull() | percent.isNotNull(), packed)
+
+    def entry(level: int, value: Column) -> Column:
+        number = F.when(value.rlike(r"^-?[0-9.]+([eE][+-]?[0-9]+)?$"), value.try_cast("double"))
+        empty = value.isin("", "false", "[]") | (number == 0)
         return (
-            F.when(_is_object(value), F.when(count.isNotNull() | percent.isNotNull(), packed))
-            .when(value.isNotNull() & ~F.coalesce(empty, F.lit(False)), bare)
+            F.when(
+                _is_object(value),
+                let(F.from_json(value, "count STRING, percent STRING"), lambda o: from_object(level, o)),
+            )
+            .when(
+                value.isNotNull() & ~F.coalesce(empty, F.lit(False)),
+                F.concat(F.lit(f"{level}:count_"), shown(value), F.lit(",percent_None")),
+            )
         )
 
-    return F.concat_ws(";", *[entry(level) for level in STAR_LEVELS])
+    def of_level(levels: Column, level: int) -> Column:
+        return let(F.try_element_at(levels, F.lit(str(level))), lambda value: entry(level, value))
+
+    def entries(levels: Column) -> Column:
+        return F.concat_ws(";", *[of_level(levels, level) for level in STAR_LEVELS])
+
+    return let(by_level, entries)
 
 
 def sold_quantity(text: Column) -> Column:
     """The number itself, or the `value` of an object."""
-    return F.when(_is_object(text), F.get_json_object(text, "$.value")).otherwise(text).try_cast("double")
+    return to_double(F.when(_is_object(text), F.get_json_object(text, "$.value")).otherwise(text))
 
 
 @F.pandas_udf(StringType())
