@@ -50,9 +50,9 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         F.count(F.lit(1)).alias("distinct_a")
     )
     names = _named_pairs(df, pairs)
-    # One row per pair on every side from here on.
+    # One row per pair on every side.
     return (
-        F.broadcast(names).join(sums, "pair", "left").join(distinct, "pair", "left")
+        names.join(sums, "pair", "left").join(distinct, "pair", "left")
         .select(
             "a", "b", rho.alias("rho"),
             F.coalesce("rows", F.lit(0)).alias("rows"),
@@ -121,6 +121,6 @@ def correlation_ratio(df: DataFrame, features: Sequence[str], measure: str) -> D
     unique = groups.groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
     listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in features])).alias("feature"))
     return (
-        F.broadcast(listed).join(unique, "feature", "left").join(sums, "feature", "left")
+        listed.join(unique, "feature", "left").join(sums, "feature", "left")
         .select("feature", eta.alias("eta"), F.coalesce("n_unique", F.lit(0)).alias("n_unique"))
     )

@@ -45,8 +45,9 @@ def running_total(
         "slices",
     )
     per_slice = slices.groupBy(*group, "_slice").agg(F.sum(weight).alias("_sum"))
-    # At most one row per slice and group held by it: bounded by the shuffle
-    # partitions plus the number of groups.
+    # One row per slice and group held by it: no more than the shuffle partitions
+    # plus the number of groups.  No broadcast is forced: the window needs the
+    # rows by (group, slice) anyway, and that is what the join uses.
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     offsets = per_slice.select(
@@ -60,7 +61,7 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        slices.join(F.broadcast(offsets), [*group, "_slice"])
+        slices.join(offsets, [*group, "_slice"])
         .withColumn(out, F.col("_before") + F.sum(weight).over(within))
         .drop("_slice", "_before")
     )

@@ -63,10 +63,29 @@ def flatten_listing(items: DataFrame) -> DataFrame:
     return items.select(*[field(c).alias(c) for c in RAW_TYPES if c in items.columns])
 
 
-def one_per_key(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One row per key: a payload landed twice must not double its product."""
+def with_match_keys(df: DataFrame, keys: tuple[str, ...], prefix: str) -> DataFrame:
+    """Two columns per key that match null-safe by plain equality: value or 0, and whether known.
+
+    Grouping and joining by the same columns needs one shuffle, not two.
+    """
+    return df.withColumns({
+        name: column for i, key in enumerate(keys) for name, column in (
+            (f"{prefix}{i}", F.coalesce(F.col(key), F.lit(0))), (f"{prefix}{i}_known", F.col(key).isNotNull()),
+        )
+    })
+
+
+def match_names(keys: tuple[str, ...], prefix: str) -> list[str]:
+    return [f"{prefix}{i}{tail}" for i in range(len(keys)) for tail in ("", "_known")]
+
+
+def one_per_key(df: DataFrame, keys: tuple[str, ...], prefix: str) -> DataFrame:
+    """One row per key, under its match columns: a payload landed twice must not double its product."""
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+    matched = with_match_keys(df, keys, prefix)
+    return matched.groupBy(*match_names(keys, prefix)).agg(F.max(F.struct(*rest)).alias("_row")).select(
+        *match_names(keys, prefix), "_row.*"
+    )
 
 
 def enrich(items: DataFrame, details: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -76,25 +95,14 @@ def enrich(items: DataFrame, details: DataFrame, reviews: DataFrame) -> DataFram
     are compared null-safe, as product and seller ids may be missing; a product
     without a payload is kept and shows empty fields.
     """
-    listed = flatten_listing(items).alias("l")
-    detail = one_per_key(flatten_detail(details), DETAIL_KEYS).alias("d")
-    review = one_per_key(flatten_review(reviews), REVIEW_KEYS).alias("r")
-
-    def on(side: str):
-        return (
-            F.col("l.id").eqNullSafe(F.col(f"{side}.product_id"))
-            & F.col("l.seller_product_id").eqNullSafe(F.col(f"{side}.spid"))
-        )
-
-    joined = listed.join(detail, on("d"), "left").join(
-        review, on("r") & F.col("l.seller_id").eqNullSafe(F.col("r.seller_id")), "left"
+    detail = one_per_key(flatten_detail(details), DETAIL_KEYS, "_d")
+    review = one_per_key(flatten_review(reviews), REVIEW_KEYS, "_r")
+    listed = flatten_listing(items)
+    offer = ("id", "seller_product_id", "seller_id")
+    keyed = with_match_keys(with_match_keys(listed, offer[:2], "_d"), offer, "_r")
+    joined = keyed.join(detail, match_names(DETAIL_KEYS, "_d"), "left").join(
+        review, match_names(REVIEW_KEYS, "_r"), "left"
     )
-
-    def output(name):
-        if name in _DETAIL_FIELDS or name in _REVIEW_FIELDS:
-            column = F.col(f"{'d' if name in _DETAIL_FIELDS else 'r'}.{name}")
-            return F.coalesce(column, F.lit(_EMPTY[name])) if name in _EMPTY else column
-        return F.col(f"l.{name}")
-
-    known = set(_DETAIL_FIELDS) | set(_REVIEW_FIELDS) | set(listed.columns)
-    return joined.select(*[output(c).alias(c) for c in RAW_TYPES if c in known])
+    known = set(joined.columns)
+    empty = {c: F.coalesce(F.col(c), F.lit(value)) for c, value in _EMPTY.items()}
+    return joined.select(*[empty.get(c, F.col(c)).alias(c) for c in RAW_TYPES if c in known])
