@@ -2,22 +2,37 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 from ..schema import BADGE_WORDS
 from .text import SPACE, look_up, strip, to_integer
 
 
-def _last_match(text: Column, entry: str) -> Column:
-    # The greedy prefix makes the last entry of that form win; `regexp_extract`
-    # gives '' when there is none.
-    return F.regexp_extract(text, rf"(?s)^(?:.*;)?{SPACE}*{entry}", 1)
+_BARE_SPACE = SPACE.replace(r"\s", r"\t\n\x0b\f\r")  # the same without the blank
+# White space next to a delimiter, other than the one blank after a semicolon.
+_ODD = rf"(?s)[;:](?:(?<={SPACE}.)|(?<=:)(?={SPACE})|(?<=;)(?= {SPACE}|{_BARE_SPACE}))"
+
+
+def _entries_text(text: Column) -> Column:
+    """`;k:v;k:v` without white space around entries, keys and values.
+
+    Texts written by the packing functions need plain replacement only.  The
+    patterns are kept for others: matching is what costs here.
+    """
+    bare = strip(text)
+    plain = F.replace(bare, F.lit("; "), F.lit(";"))
+    joined = F.regexp_replace(bare, rf"{SPACE}*;{SPACE}*", ";")
+    tidied = F.regexp_replace(joined, rf"(^|;)([^;:]*?){SPACE}*:{SPACE}*", "$1$2:")
+    # Printable ASCII without blanks has no white space: one quick look spares the other.
+    odd = plain.rlike("[^!-~]") & bare.rlike(_ODD)
+    return F.concat(F.lit(";"), F.when(odd, tidied).otherwise(plain))
 
 
 def _kv_text(text: Column, key: str) -> Column:
-    return strip(_last_match(text, rf"{re.escape(key)}{SPACE}*:([^;]*)"))
+    """Value of the last entry of `key`; empty text when there is none."""
+    entries, lead = _entries_text(text), f";{key}:"
+    last = F.substring_index(F.substring_index(entries, lead, -1), ";", 1)
+    return F.when(entries.contains(lead), last).otherwise(F.lit(""))
 
 
 def kv_value(text: Column, key: str) -> Column:
@@ -71,10 +86,11 @@ def brand_name(text: Column) -> Column:
 def star_part(text: Column, level: int, part: str) -> Column:
     """`count` or `percent` of one star level; entries holding `None` do not count.
 
-    Both parts come from one match, which is evaluated once per row.
+    Both parts come from one match, which is evaluated once per row.  The
+    greedy prefix makes the last entry of the level win.
     """
-    entry = rf"{level}{SPACE}*:{SPACE}*count_([0-9]+{SPACE}*,{SPACE}*percent_[0-9]+)"
-    found = _last_match(text, entry)
+    pair = rf"count_([0-9]+{SPACE}*,{SPACE}*percent_[0-9]+)"
+    found = F.regexp_extract(text, rf"(?s)^(?:.*;)?{SPACE}*{level}{SPACE}*:{SPACE}*{pair}", 1)
     if part == "count":
         return to_integer(F.substring_index(found, ",", 1))
     return to_integer(F.substring_index(found, "percent_", -1))

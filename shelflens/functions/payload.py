@@ -152,13 +152,14 @@ def sold_quantity(text: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+    return texts.str.replace(r"&#?\w+;", lambda entity: html.unescape(entity.group()), regex=True)
 
 
 def page_title(page: Column) -> Column:
     """Text of the first `<title>`, entities decoded; `No title` when there is none.
 
-    Only titles that hold an entity are handed to Python.
+    Only titles that hold an entity are handed to Python; one without its
+    semicolon stays as it is.
     """
     titled = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
     title = F.regexp_extract(page, titled, 1)

@@ -53,6 +53,14 @@ def test_kv_value(value_of, key, expected):
     assert value_of(packed.kv_value, KV, key) == expected
 
 
+@pytest.mark.parametrize("value, expected", [
+    ("k:1", "1"), ("  k :  a : b ", "a : b"), ("x:1;k:2", "2"), ("x:1;  k:2;", "2"), ("x:1;\tk\u00a0:\u30002", "2"),
+    ("k:1; k:2", "2"), ("xk:1", None), ("x:k:1", None), ("k", None), ("x:1 ;k:a b ; y:2", "a b"), ("k:;", None),
+])
+def test_kv_value_whatever_the_spacing(value_of, value, expected):
+    assert value_of(packed.kv_value, value, "k") == expected
+
+
 def test_kv_flag(value_of):
     assert value_of(packed.kv_flag, KV, "is_hero") is False
     assert value_of(packed.kv_flag, KV, "is_top_brand") is None
@@ -205,6 +213,7 @@ def test_sold_quantity(value_of, value, expected):
 @pytest.mark.parametrize("value, expected", [
     ("<TITLE lang='x'>\n A &amp; B &eacute;&#233; </title>", "A & B éé"),
     ("<title></title>", ""), ("<html><titles>x</titles>", "No title"), (None, "No title"),
+    ("<title>a &lt;b &amp</title>", "a <b &amp"), ("<title>&amp;lt;</title>", "&lt;"),
     ("<title>one</title><title>two</title>", "one"),
 ])
 def test_page_title(value_of, value, expected):
