@@ -114,7 +114,8 @@ def with_exact_top_sellers(products: DataFrame, key: str = "id") -> DataFrame:
     """`seller_group`: exactly the first 10 % of rows (rounded up), ties at the cut by `key`.
 
     Only the rows tied at the cut are ordered by key, and those by running
-    counts rather than in one task.
+    counts rather than in one task.  `key` must be unique, as it is once the
+    products are deduplicated.
     """
     sold = F.col("quantity_sold")
     k = F.ceil(F.col("total") * F.lit(0.1).cast("double"))
