@@ -97,7 +97,7 @@ class NoisyOr:
 
 
 def fit_noisy_or(texts: pa.Array, labels: np.ndarray, bits: int = BITS, epochs: int = 12, rate: float = 0.3,
-                 penalty: float = 1e-4, evidence: float = 5.5, seed: int = 5) -> NoisyOr:
+                 penalty: float = 1e-4, evidence: float = 4.5, seed: int = 5) -> NoisyOr:
     """Adaptive gradient steps on the documents' log-likelihood, documents in batches.
 
     Used are the features that toxic documents of the sample hold more often
