@@ -6,32 +6,33 @@ each reader prune columns, and outlives any executor.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_made: set[str] = set()
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder for staged tables: the cluster's checkpoint folder.
+    """Folder for this application's staged tables.
 
-    A temporary folder of this machine is used only by a local session that
-    names none; on a cluster that is an error.
+    It lies below the cluster's checkpoint folder or, where none is named, below
+    the warehouse, which all executors share as well.  The JVM deletes it through
+    the folder's own file system when the application ends.
     """
-    global _local_root
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return f"{named.rstrip('/')}/shelflens-{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="shelflens-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    above = (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    root = f"{above}/shelflens-{spark.sparkContext.applicationId}"
+    if root not in _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _made.add(root)
+    return root
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
@@ -39,9 +40,24 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_dropped_when_done(spark: SparkSession) -> Iterator[None]:
+    """Once the table is written, the shuffle files behind it are of no more use."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to shared storage and return a scan of what was written."""
     spark = df.sparkSession
     path = stage_path(spark, label)
-    df.write.parquet(path)
+    with _shuffles_dropped_when_done(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
