@@ -28,45 +28,46 @@ MAX_EDITS = 2
 MIN_CHARS = 20
 
 
-def _segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment `number` (from 0) of an even cut; the longer ones come last."""
-    short = F.floor(length / parts)
-    longer_from = parts - length % parts
-    start = short * number + F.greatest(F.lit(number) - longer_from, F.lit(0)) + 1
-    size = short + (F.lit(number) >= longer_from).cast("long")
-    return start.cast("int"), size.cast("int")
+def wide(line: Column) -> Column:
+    """The line with four bytes to the character, so that a part of it is found without counting."""
+    return F.encode(line, "UTF-32")
 
 
-def _key(line: Column, length: Column, number: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(number), length, F.substring(line, start, size))
+def segment_reads(max_edits: int) -> list[tuple[int, int, int]]:
+    """(less, segment, shift): which substrings may equal a segment of a line shorter by `less`.
 
-
-def index_keys(line: Column, max_edits: int) -> Column:
-    """Keys of the line's own segments."""
-    length = F.char_length(line)
-    return F.array(*[
-        _key(line, length, i, *_segment(length, i, max_edits + 1)) for i in range(max_edits + 1)
-    ])
+    A segment can be shifted by at most as many places as there are segments
+    before it, and by at most as many as there are behind it, from the right end.
+    """
+    return [
+        (less, i, shift)
+        for less in range(max_edits + 1)
+        for i in range(max_edits + 1)
+        for shift in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1)
+    ]
 
 
-def probe_keys(line: Column, max_edits: int) -> Column:
-    """Keys of the substrings that may equal a segment of a line no longer than this one.
+def segment_keys(cut: DataFrame, reads: list[tuple[int, int, int]], max_edits: int, id_name: str) -> DataFrame:
+    """`id_name`, `key` per line and read; lines as `line_key`, `n` (length) and `text` (wide).
 
-    For a line shorter by `less`, segment i can be shifted by at most i places
-    counted from the left end, and by at most max_edits - i from the right end.
+    Segments are those of an even cut, the longer ones last.  One row per read
+    keeps the generated code small enough to be compiled.
     """
-    own = F.char_length(line)
-    keys = []
-    for less in range(max_edits + 1):
-        length = own - less
-        for i in range(max_edits + 1):
-            start, size = _segment(length, i, max_edits + 1)
-            lowest, highest = max(-i, less - (max_edits - i)), min(i, less + (max_edits - i))
-            for shift in range(lowest, highest + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= own)
-                keys.append(F.when(fits, _key(line, length, i, at, size)))
-    return F.array(*keys)
+    parts = max_edits + 1
+    listed = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(r, ("less", "segment", "shift"), strict=True)]) for r in reads])
+    each = cut.select("line_key", "n", "text", F.inline(listed))
+    length = F.col("n") - F.col("less")
+    measured = each.select(
+        "line_key", "n", "text", "segment", "shift", length.alias("length"),
+        F.floor(length / parts).cast("int").alias("short"), (parts - length % parts).alias("longer_from"),
+    )
+    start = F.col("short") * F.col("segment") + F.greatest(F.col("segment") - F.col("longer_from"), F.lit(0)) + F.col("shift")
+    size = F.col("short") + (F.col("segment") >= F.col("longer_from")).cast("int")
+    placed = measured.select("line_key", "n", "text", "segment", "length", start.alias("start"), size.alias("size"))
+    return placed.where("start >= 0 AND start + size <= n").select(
+        F.col("line_key").alias(id_name),
+        F.xxhash64("segment", "length", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size"))).alias("key"),
+    )
 
 
 def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
@@ -146,10 +147,11 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
 
 def candidate_pairs(lines: DataFrame, max_edits: int) -> DataFrame:
     """`a`, `b` (a < b): hashes of different lines that meet under a segment key."""
-    index = lines.select(F.col("line_key").alias("a"), F.explode(index_keys(F.col("line"), max_edits)).alias("key"))
-    probe = lines.select(F.col("line_key").alias("b"), F.explode(probe_keys(F.col("line"), max_edits)).alias("key"))
+    cut = lines.select("line_key", F.char_length("line").alias("n"), wide(F.col("line")).alias("text"))
+    index = segment_keys(cut, [(0, i, 0) for i in range(max_edits + 1)], max_edits, "a")
+    probe = segment_keys(cut, segment_reads(max_edits), max_edits, "b")
     # Copies of a line within a task become one row before the shuffle.
-    met = index.distinct().join(probe.where("key IS NOT NULL").distinct(), "key").where("a != b")
+    met = index.distinct().join(probe.distinct(), "key").where("a != b")
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
