@@ -5,8 +5,11 @@ and one of them occurs unchanged in the longer, at a place that the edits on
 either side of it can explain.  Each line is written under its own segments
 (index) and, for its own length and every shorter one within reach, under the
 few substrings that could be such a segment (probe).  Lines that meet under a
-key are candidates; they are verified by edit distance over a diagonal band of
-`2 * max_edits + 1` cells held in the bits of one number.
+key are candidates if their counts of some letters can be reconciled by the
+edits allowed (an edit changes two counts by one at most), which keeps the many
+variants of one sentence from being paired with each other.  Candidates are
+verified by edit distance over a diagonal band of `2 * max_edits + 1` cells held
+in the bits of one number.
 
 A line is dropped when an equal line, or one within `max_edits`, stands earlier
 in the corpus (by document id, null ids last, then text hash and line number).
@@ -26,6 +29,9 @@ from ..staging import stage
 
 MAX_EDITS = 2
 MIN_CHARS = 20
+#: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
+LETTERS = "etnaisrohdlu"
+_HASH_BITS = 64 - 2 * len(LETTERS)
 
 
 def wide(line: Column) -> Column:
@@ -48,24 +54,24 @@ def segment_reads(max_edits: int) -> list[tuple[int, int, int]]:
 
 
 def segment_keys(cut: DataFrame, reads: list[tuple[int, int, int]], max_edits: int, id_name: str) -> DataFrame:
-    """`id_name`, `key` per line and read; lines as `line_key`, `n` (length) and `text` (wide).
+    """`id_name`, `key` per line and read; lines as `line_id`, `n` (length) and `text` (wide).
 
     Segments are those of an even cut, the longer ones last.  One row per read
     keeps the generated code small enough to be compiled.
     """
     parts = max_edits + 1
     listed = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(r, ("less", "segment", "shift"), strict=True)]) for r in reads])
-    each = cut.select("line_key", "n", "text", F.inline(listed))
+    each = cut.select("line_id", "n", "text", F.inline(listed))
     length = F.col("n") - F.col("less")
     measured = each.select(
-        "line_key", "n", "text", "segment", "shift", length.alias("length"),
+        "line_id", "n", "text", "segment", "shift", length.alias("length"),
         F.floor(length / parts).cast("int").alias("short"), (parts - length % parts).alias("longer_from"),
     )
     start = F.col("short") * F.col("segment") + F.greatest(F.col("segment") - F.col("longer_from"), F.lit(0)) + F.col("shift")
     size = F.col("short") + (F.col("segment") >= F.col("longer_from")).cast("int")
-    placed = measured.select("line_key", "n", "text", "segment", "length", start.alias("start"), size.alias("size"))
+    placed = measured.select("line_id", "n", "text", "segment", "length", start.alias("start"), size.alias("size"))
     return placed.where("start >= 0 AND start + size <= n").select(
-        F.col("line_key").alias(id_name),
+        F.col("line_id").alias(id_name),
         F.xxhash64("segment", "length", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size"))).alias("key"),
     )
 
@@ -141,34 +147,71 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
     )
     return cut.where(F.char_length("line") >= min_chars).select(
         "doc_id", "text_key", "pos", "line",
-        F.xxhash64("line").alias("line_key"), F.xxhash64("line", F.lit("second")).alias("line_check"),
+        *_line_hashes("line", "line"),
     )
 
 
-def candidate_pairs(lines: DataFrame, max_edits: int) -> DataFrame:
-    """`a`, `b` (a < b): hashes of different lines that meet under a segment key."""
-    cut = lines.select("line_key", F.char_length("line").alias("n"), wide(F.col("line")).alias("text"))
+def _letter_counts(line: Column) -> Column:
+    """Counts of the letters of `LETTERS`, modulo 4, two bits each."""
+    n = F.octet_length(line)
+    packed = F.lit(0).cast("long")
+    for i, letter in enumerate(LETTERS):
+        count = n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed + F.shiftleft(count.bitwiseAND(F.lit(3)).cast("long"), 2 * i)
+    return packed
+
+
+def _count_gap(a: Column, b: Column) -> Column:
+    """At most the sum of the differences of the letter counts of two packed ids."""
+    gap = F.lit(0)
+    for i in range(len(LETTERS)):
+        place = _HASH_BITS + 2 * i
+        apart = (F.shiftrightunsigned(a, place) - F.shiftrightunsigned(b, place)).bitwiseAND(F.lit(3))
+        gap = gap + apart - F.shiftright(apart, 1).bitwiseAND(apart) * 2
+    return gap
+
+
+def meeting_lines(lines: DataFrame) -> DataFrame:
+    """`line_id`, `line` for every different line; the id holds letter counts above a hash.
+
+    Different lines can share an id: it only serves to find candidates.
+    """
+    line_hash = F.xxhash64("line").bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+    return lines.select("line").distinct().select(
+        F.shiftleft(_letter_counts(F.col("line")), _HASH_BITS).bitwiseOR(line_hash).alias("line_id"), "line"
+    )
+
+
+def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
+    """`a`, `b` (a < b): ids of different lines that meet under a segment key and can be within reach."""
+    cut = different.select("line_id", F.char_length("line").alias("n"), wide(F.col("line")).alias("text"))
     index = segment_keys(cut, [(0, i, 0) for i in range(max_edits + 1)], max_edits, "a")
     probe = segment_keys(cut, segment_reads(max_edits), max_edits, "b")
-    # Copies of a line within a task become one row before the shuffle.
-    met = index.distinct().join(probe.distinct(), "key").where("a != b")
+    met = index.join(probe, "key").where((F.col("a") != F.col("b")) & (_count_gap(F.col("a"), F.col("b")) <= 2 * max_edits))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
-    """`a`, `b`: pairs of different lines within `max_edits` edits, each in both directions."""
-    pairs = stage(candidate_pairs(lines, max_edits), "candidates")
-    ends = pairs.select(F.col("a").alias("line_key")).union(pairs.select("b")).distinct()
-    texts = stage(
-        lines.select("line_key", "line_check", "line").join(ends, "line_key", "left_semi").distinct(), "texts"
-    )
-    left = texts.select(F.col("line_key").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("line_key").alias("b"), F.col("line").alias("line_b"))
-    near = pairs.join(left, "a").join(right, "b").where(
-        banded_distance(F.col("line_a"), F.col("line_b"), max_edits) <= max_edits
-    )
-    found = stage(near.select("a", "b").distinct(), "line-links")
-    return found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    """Pairs of different lines within `max_edits` edits, each in both directions.
+
+    `a_key`, `a_check`, `b_key`, `b_check`: the two hashes of either line.
+    """
+    different = stage(meeting_lines(lines), "different-lines")
+    pairs = stage(candidate_pairs(different, max_edits), "candidates")
+    ends = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
+    texts = stage(different.join(ends, "line_id", "left_semi"), "texts")
+    left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"))
+    right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"))
+    # Dealt out evenly: verifying is the costly part, and pairs of one line lie together.
+    met = pairs.join(left, "a").join(right, "b").repartition(F.xxhash64("a", "b"))
+    near = met.where(banded_distance(F.col("line_a"), F.col("line_b"), max_edits) <= max_edits)
+    found = stage(near.select(*_line_hashes("line_a", "a"), *_line_hashes("line_b", "b")).distinct(), "line-links")
+    names = ["a_key", "a_check", "b_key", "b_check"]
+    return found.union(found.select(*[F.col(n) for n in names[2:] + names[:2]]).toDF(*names))
+
+
+def _line_hashes(line: str, name: str) -> list[Column]:
+    return [F.xxhash64(line).alias(f"{name}_key"), F.xxhash64(line, F.lit("second")).alias(f"{name}_check")]
 
 
 def _place() -> Column:
@@ -192,14 +235,15 @@ def line_verdicts(
         lines.groupBy("line_key", "line_check").agg(F.min(_place()).alias("first")), "distinct-lines"
     )
     # Only lines that link to another go through these joins.
-    linked = distinct.join(links.select(F.col("a").alias("line_key")).distinct(), "line_key")
+    line = ["line_key", "line_check"]
+    linked = distinct.join(links.select("a_key", "a_check").toDF(*line).distinct(), line)
     near = (
-        links.join(linked.select(F.col("line_key").alias("a"), F.col("first").alias("own")), "a")
-        .join(linked.select(F.col("line_key").alias("b"), F.col("first").alias("other")), "b")
-        .groupBy(F.col("a").alias("line_key"))
+        links.join(linked.select(*line, F.col("first").alias("own")).toDF("a_key", "a_check", "own"), ["a_key", "a_check"])
+        .join(linked.select(*line, F.col("first").alias("other")).toDF("b_key", "b_check", "other"), ["b_key", "b_check"])
+        .groupBy(F.col("a_key").alias("line_key"), F.col("a_check").alias("line_check"))
         .agg(F.count(F.lit(1)).alias("n_links"), F.max(F.col("other") < F.col("own")).alias("near"))
     )
-    judged = distinct.join(near, "line_key", "left")
+    judged = distinct.join(near, line, "left")
     return lines.drop("line").join(judged, ["line_key", "line_check"]).select(
         "doc_id", "text_key", "pos", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         (_place() > F.col("first")).alias("exact"), F.coalesce("near", F.lit(False)).alias("near"),
