@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _made: set[str] = set()
+_paths: dict[int, str] = {}
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -60,4 +61,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(spark, label)
     with _shuffles_dropped_when_done(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _paths[id(staged)] = path
+    return staged
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete what `stage` wrote, for tables that are large and soon of no more use."""
+    spark = staged.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_paths.pop(id(staged)))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
