@@ -25,13 +25,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..staging import stage
+from ..staging import stage, unstage
 
 MAX_EDITS = 2
 MIN_CHARS = 20
 #: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
 LETTERS = "etnaisrohdlu"
-_HASH_BITS = 64 - 2 * len(LETTERS)
+_HASH_BITS = 63 - 2 * len(LETTERS)
+_ID = (1 << 63) - 1
+#: Candidate lines up to this number are sent to the tasks; beyond it they are joined by shuffle.
+BROADCAST_LINES = 500_000
 
 
 def wide(line: Column) -> Column:
@@ -54,7 +57,7 @@ def segment_reads(max_edits: int) -> list[tuple[int, int, int]]:
 
 
 def segment_keys(cut: DataFrame, reads: list[tuple[int, int, int]], max_edits: int, id_name: str) -> DataFrame:
-    """`id_name`, `key` per line and read; lines as `line_id`, `n` (length) and `text` (wide).
+    """`id_name` (sign bit set for reads of shorter lines), `key` per line and read; lines as `line_id`, `n` (length) and `text` (wide).
 
     Segments are those of an even cut, the longer ones last.  One row per read
     keeps the generated code small enough to be compiled.
@@ -71,7 +74,8 @@ def segment_keys(cut: DataFrame, reads: list[tuple[int, int, int]], max_edits: i
     size = F.col("short") + (F.col("segment") >= F.col("longer_from")).cast("int")
     placed = measured.select("line_id", "n", "text", "segment", "length", start.alias("start"), size.alias("size"))
     return placed.where("start >= 0 AND start + size <= n").select(
-        F.col("line_id").alias(id_name),
+        F.when(F.col("length") < F.col("n"), F.col("line_id").bitwiseOR(F.lit(~_ID))).otherwise(F.col("line_id"))
+        .alias(id_name),
         F.xxhash64("segment", "length", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size"))).alias("key"),
     )
 
@@ -187,8 +191,12 @@ def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
     cut = different.select("line_id", F.char_length("line").alias("n"), wide(F.col("line")).alias("text"))
     index = segment_keys(cut, [(0, i, 0) for i in range(max_edits + 1)], max_edits, "a")
     probe = segment_keys(cut, segment_reads(max_edits), max_edits, "b")
-    met = index.join(probe, "key").where((F.col("a") != F.col("b")) & (_count_gap(F.col("a"), F.col("b")) <= 2 * max_edits))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # A longer line has its sign bit set.  Lines of one length probe each other; one direction is enough.
+    a, b = F.col("a"), F.col("b").bitwiseAND(F.lit(_ID))
+    met = index.join(probe, "key").where(
+        ((F.col("b") < 0) | (a < b)) & (a != b) & (_count_gap(a, b) <= 2 * max_edits)
+    )
+    return met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
@@ -198,8 +206,10 @@ def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
     """
     different = stage(meeting_lines(lines), "different-lines")
     pairs = stage(candidate_pairs(different, max_edits), "candidates")
-    ends = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
-    texts = stage(different.join(ends, "line_id", "left_semi"), "texts")
+    ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
+    few = ends.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+    texts = stage(different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi"), "texts")
+    unstage(different)
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"))
     # Dealt out evenly: verifying is the costly part, and pairs of one line lie together.
@@ -231,8 +241,9 @@ def line_verdicts(
         raise ValueError("min_chars must be more than twice max_edits")
     lines = _lines(docs, id_col, text_col, min_chars)
     links = line_links(lines, max_edits)
+    places = stage(lines.drop("line"), "places")
     distinct = stage(
-        lines.groupBy("line_key", "line_check").agg(F.min(_place()).alias("first")), "distinct-lines"
+        places.groupBy("line_key", "line_check").agg(F.min(_place()).alias("first")), "distinct-lines"
     )
     # Only lines that link to another go through these joins.
     line = ["line_key", "line_check"]
@@ -244,7 +255,7 @@ def line_verdicts(
         .agg(F.count(F.lit(1)).alias("n_links"), F.max(F.col("other") < F.col("own")).alias("near"))
     )
     judged = distinct.join(near, line, "left")
-    return lines.drop("line").join(judged, ["line_key", "line_check"]).select(
+    return places.join(judged, ["line_key", "line_check"]).select(
         "doc_id", "text_key", "pos", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         (_place() > F.col("first")).alias("exact"), F.coalesce("near", F.lit(False)).alias("near"),
     )
