@@ -15,23 +15,36 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import textarrays as ta
 
 SEQUENCE = 2048
 END_ID = 1
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_200_000
+SLICE_BYTES = 4 << 20
 #: A single space between two characters that are not white space.  Byte-level BPE
 #: always starts a new word at such a space, so the parts can be encoded apart.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_RAGGED = re.compile(r"\A\s|\s\Z|\A\Z")
+#: Words of letters up to here, with or without these signs behind, are single words to the tokenizer too.
+_LAST_LETTER = "\u024f"
+_SIGNS = ".,;:!?"
+
+
+def _byte_signs() -> dict[int, int]:
+    """Byte-level BPE writes every byte as a printable character: itself, or the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+_BYTE_SIGNS = _byte_signs()
 
 
 def piece_lengths(total: int, longest: int) -> list[int]:
@@ -50,6 +63,8 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         # The marker of the vocabulary, met in a text, is ordinary text.
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
+        self._signs: dict[str, list[int]] = {}
         self._entries = entries
         self._forget()
 
@@ -57,38 +72,79 @@ class WordEncoder:
         self._number: dict[str, int] = {}
         self._starts, self._ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text.  Known words are looked up; they follow a space, the first of a text does not."""
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text.  Different words are found by Arrow and looked up once per call."""
         if len(self._number) > self._entries:
             self._forget()
+        cut = pc.split_pattern(texts, " ")
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        first = np.zeros(len(code), bool)
+        first[bounds[:-1]] = True
+        # White space beside a space: such texts are cut only where that is safe.
+        ragged = np.fromiter((not w or len(w.strip()) != len(w) for w in words), bool, len(words))
+        texts_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        careful = np.zeros(len(texts), bool)
+        careful[texts_of[ragged[code]]] = True
+        careful &= np.diff(bounds) > 1
+        after_space = ~first & ~careful[texts_of]
+        used = np.zeros(len(words), bool)
+        used[code[after_space]] = True
         number = self._number
-        cut, fresh = [], {}
-        for text in texts:
-            first, *rest = text.split(" ")
-            new = {w for w in rest if w not in number and w not in fresh}
-            if any(_RAGGED.search(w) for w in new) or _RAGGED.search(first) and rest:
-                # White space beside a space: cut only where that is safe.
-                first, *rest = _CUT.split(text)
-                cut.append(([first, *[" " + w for w in rest]], None))
+        self._learn([w for w, u in zip(words, used.tolist(), strict=True) if u and w not in number])
+        place = np.fromiter((number[w] if u else 0 for w, u in zip(words, used.tolist(), strict=True)), np.int64, len(words))
+        ids, sizes = self._gather(place[code[after_space]])
+        rest = np.split(ids, np.cumsum(np.bincount(texts_of[after_space], sizes, len(texts)).astype(np.int64))[:-1])
+        apart = [
+            [x if not i else " " + x for i, x in enumerate(_CUT.split(texts[t].as_py()))] if careful[t]
+            else [words[code[bounds[t]]]]
+            for t in range(len(texts))
+        ]
+        flat_sizes, flat = self._ids_of(list(chain.from_iterable(apart)))
+        ends = np.concatenate([[0], np.cumsum(flat_sizes)])[np.cumsum([0, *map(len, apart)])]
+        return [np.concatenate([flat[ends[t]:ends[t + 1]], rest[t]]) for t in range(len(texts))]
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Number the words as they are after a space, and hold their ids."""
+        number, held, odd = self._number, [], []
+        for word in words:
+            ids = self._simple(word, True)
+            if ids is None and word.count("\n") == 1:
+                # A line break between two words is a word of its own.
+                left, right = word.split("\n")
+                ids, more = self._simple(left, True), self._simple(right, False)
+                ids = None if ids is None or more is None else ids + self._known("\n") + more
+            if ids is None:
+                odd.append(word)
             else:
-                fresh.update(dict.fromkeys(new))
-                cut.append(([first], rest))
-        apart = [w for parts, _ in cut for w in parts]
-        for at, w in enumerate(fresh, len(number)):
-            number[w] = at
-        sizes, ids = self._ids_of([" " + w for w in fresh])
-        self._ids = np.concatenate([self._ids, ids])
+                number[word] = len(number)
+                held.append(ids)
+        sizes, ids = self._ids_of([" " + w for w in odd])
+        for word in odd:
+            number[word] = len(number)
+        sizes = np.concatenate([np.fromiter(map(len, held), np.int64, len(held)), sizes])
+        flat = np.array(list(chain.from_iterable(held)), np.uint32)
+        self._ids = np.concatenate([self._ids, flat, ids])
         self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
-        sizes, ids = self._ids_of(apart)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        out, at = [], 0
-        for parts, rest in cut:
-            head = ids[starts[at]:starts[at + len(parts)]]
-            at += len(parts)
-            out.append(head if not rest else np.concatenate(
-                [head, self._gather(np.fromiter(map(number.__getitem__, rest), np.int64, len(rest)))]
-            ))
-        return out
+
+    def _simple(self, word: str, after_space: bool) -> list[int] | None:
+        """Ids of letters with or without signs behind; None for any other word."""
+        stem = word.rstrip(_SIGNS)
+        if not stem.isalpha():
+            return None
+        written = stem
+        if not stem.isascii():
+            if max(stem) > _LAST_LETTER:
+                return None
+            written = stem.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        ids = [t.id for t in self._model.tokenize("\u0120" + written if after_space else written)]
+        return ids + self._known(word[len(stem):]) if len(stem) < len(word) else ids
+
+    def _known(self, signs: str) -> list[int]:
+        if signs not in self._signs:
+            self._signs[signs] = self._ids_of([signs])[1].tolist()
+        return self._signs[signs]
 
     def _ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not texts:
@@ -97,11 +153,11 @@ class WordEncoder:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
 
-    def _gather(self, at: np.ndarray) -> np.ndarray:
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, sizes = self._starts[at], self._starts[at + 1] - self._starts[at]
         ends = np.cumsum(sizes)
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-        return self._ids[place]
+        return self._ids[place], sizes
 
 
 @lru_cache(maxsize=1)
@@ -130,11 +186,10 @@ def pack(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            for part in ta.slices(batch, 1):
-                texts = [t or "" for t in part.column(1).to_pylist()]
+            for part in ta.slices(batch, 1, SLICE_BYTES):
                 rows: list[int] = []
                 start, length, total, held = [], [], [], []
-                for row, ids in enumerate(encoder.encode(texts)):
+                for row, ids in enumerate(encoder.encode(part.column(1).fill_null(""))):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     at = 0
                     for size in piece_lengths(len(ids), longest):

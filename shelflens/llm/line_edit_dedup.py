@@ -30,7 +30,7 @@ from ..staging import stage, unstage
 MAX_EDITS = 2
 MIN_CHARS = 20
 #: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
-LETTERS = "etnaisrohdlu"
+LETTERS = "etnaisroh"
 _HASH_BITS = 63 - 2 * len(LETTERS)
 _ID = (1 << 63) - 1
 #: Candidate lines up to this number are sent to the tasks; beyond it they are joined by shuffle.
