@@ -178,7 +178,10 @@ def top_k(
                 found.append((np.full(len(best), query_ids[q], ids.dtype), np.full(len(best), key), best, scores))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=out.names)
 
-    per_block = dealt.groupBy("dim", "row_block", "query_block").applyInArrow(search, out)
+    # As many tasks as groups: a group is little data but much work, so small ones must not be put together.
+    groups = sum(-(-r["n"] // candidate_rows) * -(-r["q"] // query_rows) for r in facts.values())
+    keys = ["dim", "row_block", "query_block"]
+    per_block = dealt.repartition(max(groups, 1), *keys).groupBy(*keys).applyInArrow(search, out)
     best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return (
         per_block.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
