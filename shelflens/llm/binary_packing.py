@@ -17,7 +17,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,8 @@ from . import textarrays as ta
 
 SEQUENCE = 2048
 END_ID = 1
-CACHE_ENTRIES = 1_200_000
-SLICE_BYTES = 4 << 20
+CACHE_ENTRIES = 500_000
+SLICE_BYTES = 3 << 20
 #: A single space between two characters that are not white space.  Byte-level BPE
 #: always starts a new word at such a space, so the parts can be encoded apart.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -91,9 +91,10 @@ class WordEncoder:
         after_space = ~first & ~careful[texts_of]
         used = np.zeros(len(words), bool)
         used[code[after_space]] = True
-        number = self._number
-        self._learn([w for w, u in zip(words, used.tolist(), strict=True) if u and w not in number])
-        place = np.fromiter((number[w] if u else 0 for w, u in zip(words, used.tolist(), strict=True)), np.int64, len(words))
+        place = np.fromiter(map(self._number.get, words, repeat(-1)), np.int64, len(words))
+        fresh = np.flatnonzero(used & (place < 0)).tolist()
+        self._learn([words[i] for i in fresh])
+        place[fresh] = [self._number[words[i]] for i in fresh]
         ids, sizes = self._gather(place[code[after_space]])
         rest = np.split(ids, np.cumsum(np.bincount(texts_of[after_space], sizes, len(texts)).astype(np.int64))[:-1])
         apart = [
