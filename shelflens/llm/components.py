@@ -20,7 +20,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Self-loops and repeated edges do no harm; null ends are left out.  No edges
     give an empty table.
     """
-    links = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
+    whole = edges.dropna(subset=[a, b])
+    links = whole.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     loops = links.where("hi = lo").select(F.col("hi").alias("node")).distinct()
     links = stage(links.where("hi > lo").distinct(), "links")
     state = _state(links)
