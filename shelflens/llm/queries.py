@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    binary_packing, chat_snapshots, kneser_ney, line_edit_dedup, pivotal_mix, repetition_rules, simhash_pivots,
+    binary_packing, chat_snapshots, checks, kneser_ney, line_edit_dedup, pivotal_mix, repetition_rules, simhash_pivots,
     topk_pivots, toxicity_mil, url_equivalence,
 )
 
@@ -109,3 +109,13 @@ def op10_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document."""
     pieces = binary_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return binary_packing.piece_digests(pieces)
+
+
+# The other operators (perplexities, edit distances over all lines, learned weights, rounding, fingerprints, tokens)
+# are beyond SQL or too slow in it: tests compare them with brute force.
+CHECKS.update({
+    "op1_topk_pivots": checks.TOPK,
+    "op2_repetition_rules": checks.repetition(),
+    "op5_chat_snapshots": checks.CHATS,
+    "op7_url_equivalence": checks.urls(URL_RULES),
+})
