@@ -62,7 +62,8 @@ def parser() -> argparse.ArgumentParser:
     model = job("model", "source", "out")
     model.add_argument("--trees", type=int, default=price_model.TREES)
     model.add_argument("--depth", type=int, default=price_model.DEPTH)
-    model.add_argument("--max-categories", type=int)
+    model.add_argument("--encoding", choices=("target_mean", "one_hot"), default="target_mean")
+    model.add_argument("--fit-rows", type=int, help="labelled rows the forest is grown on (default: all)")
     return top
 
 
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "merge-folders":
         merged = ingest.merge_category_folders(spark, args.source)
         sinks.write_by_category(merged, args.out, form)
-        ingest.merge_report(merged).show(50, truncate=False)
+        sinks.write_merged(ingest.merge_report(merged), f"{args.out.rstrip('/')}_report", form)
     elif args.job == "merge-raw":
         sinks.write_merged(ingest.merge_raw_files(spark, args.source), args.out, form)
     elif args.job == "clean":
@@ -103,7 +104,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         table = stage(price_model.model_table(spark.read.parquet(args.source)), "model_table")
         model = price_model.fit_price_model(
-            table.where("part = 'train'"), trees=args.trees, depth=args.depth, max_categories=args.max_categories
+            table.where("part = 'train'"), trees=args.trees, depth=args.depth, encoding=args.encoding,
+            fit_rows=args.fit_rows,
         )
         scored = stage(price_model.predict(model, table.where("part <> 'train'")), "scored")
         sinks.write_merged(scored.where("part = 'holdout'").drop("part"), f"{args.out}/holdout_predictions", form)

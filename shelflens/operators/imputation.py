@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .ordered import exact_quantile, running_total, value_counts
+from .ordered import exact_quantile, value_counts
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,11 +28,3 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def modes(counts: DataFrame) -> DataFrame:
     """Most frequent value per column, the smallest one on ties: `feature`, `mode`."""
     return counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
-
-
-def most_frequent(counts: DataFrame, k: int) -> DataFrame:
-    """The `k` most frequent values per column with their place from 1 on."""
-    placed = running_total(
-        counts.withColumn("_one", F.lit(1)), [F.col("n").desc(), F.col("value")], "_one", ["feature"], "place"
-    )
-    return placed.where(F.col("place") <= k).select("feature", "value", "place")

@@ -22,18 +22,25 @@ TARGET = "price"
 # ---- fixed values: the forest ----
 TREES, DEPTH, SEED = 300, 30, 42  # 30 is the deepest tree the library grows
 
-SLOT_LIMIT = 20_000  # one-hot slots a forest is fitted on without being told to
+FOLDS = 5  # parts of the training rows whose category means leave each other out
+PRIOR_ROWS = 5.0  # rows of the overall mean that every category mean is mixed with
 
 
 @dataclass(frozen=True)
 class PriceModel:
-    """A fitted pipeline and how its feature vector is laid out."""
+    """A fitted pipeline and how its feature vector is laid out.
+
+    `means` holds the category means of the `target_mean` encoding: `feature`,
+    `value`, `total`, `n`, and `folds` (total and n of each training fold).
+    """
 
     pipeline: PipelineModel
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
     fills: dict
     slots: dict[str, int]
+    means: DataFrame | None = None
+    overall: float = 0.0
 
 
 def add_name_features(products: DataFrame) -> DataFrame:
@@ -75,53 +82,86 @@ def _filled(table: DataFrame, numeric, categorical, fills: dict) -> DataFrame:
     return table.withColumns({**as_double, **as_text}).fillna(fills)
 
 
-def _labels(counts: DataFrame, max_categories: int | None, slot_limit: int) -> dict[str, list[str]]:
-    """Categories that get a slot, most frequent first, per column.
-
-    Sizes are checked before any label reaches the driver.
-    """
-    sizes = {r.feature: r.n for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    kept = {c: n if max_categories is None else min(n, max_categories) for c, n in sizes.items()}
-    if sum(kept.values()) > slot_limit:
-        raise ValueError(
-            f"{sum(kept.values())} one-hot slots exceed {slot_limit}; set max_categories to give a slot to the "
-            f"most frequent values only (categories per column: {sizes}) or raise slot_limit"
-        )
-    wanted = counts if max_categories is None else imputation.most_frequent(counts, max_categories).join(
-        counts, ["feature", "value"]
-    )
+def _labels(counts: DataFrame) -> dict[str, list[str]]:
+    """All categories per column, most frequent first."""
     labels: dict[str, list[str]] = {}
-    for row in wanted.orderBy("feature", F.col("n").desc(), "value").collect():
+    for row in counts.orderBy("feature", F.col("n").desc(), "value").collect():
         labels.setdefault(row.feature, []).append(row.value)
     return labels
 
 
+def _fold(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")
+
+
+def category_means(filled: DataFrame, categorical: list[str], key: str) -> DataFrame:
+    """`feature`, `value`, `total`, `n`, `folds`: log price summed per category, and per category and fold."""
+    long = filled.select(_fold(key).alias("fold"), "log_price", *categorical).unpivot(
+        ["fold", "log_price"], categorical, "feature", "value"
+    )
+    per_fold = long.groupBy("feature", "value", "fold").agg(F.sum("log_price").alias("total"), F.count(F.lit(1)).alias("n"))
+    entry = F.struct("fold", F.struct("total", "n").alias("held"))
+    return per_fold.groupBy("feature", "value").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.map_from_entries(F.collect_list(entry)).alias("folds"),
+    )
+
+
+def _with_means(table: DataFrame, categorical, means: DataFrame, overall: float, fold=None) -> DataFrame:
+    """Add `<column>_mean` per categorical column; with `fold`, from the rows of the other folds.
+
+    Unseen values get the overall mean.
+    """
+    for c in categorical:
+        own = means.where(F.col("feature") == c).select(
+            F.col("value").alias("_value"), F.col("total").alias("_total"), F.col("n").alias("_n"), F.col("folds").alias("_folds")
+        )
+        joined = table.join(own, F.col(c) == F.col("_value"), "left")
+        total, n = F.coalesce("_total", F.lit(0.0)), F.coalesce("_n", F.lit(0))
+        if fold is not None:
+            held = F.try_element_at("_folds", fold)
+            total, n = total - F.coalesce(held["total"], F.lit(0.0)), n - F.coalesce(held["n"], F.lit(0))
+        mean = (total + PRIOR_ROWS * overall) / (n + PRIOR_ROWS)
+        table = joined.withColumn(f"{c}_mean", mean).drop("_value", "_total", "_n", "_folds")
+    return table
+
+
 def fit_price_model(
     train: DataFrame,
     key: str = "id",
     trees: int = TREES,
     depth: int = DEPTH,
-    max_categories: int | None = None,
-    slot_limit: int = SLOT_LIMIT,
+    encoding: str = "target_mean",
+    fit_rows: int | None = None,
     seed: int = SEED,
 ) -> PriceModel:
-    """Impute, one-hot encode and fit a forest on the log of the price.
+    """Impute, encode and fit a forest on the log of the price.
+
+    `train` is read several times; pass a table.  `encoding` is one of
 
-    `train` is read several times; pass a table.  Values without a slot (not
-    seen, or beyond `max_categories`) become the all-zero vector.  Without
-    `max_categories` every value gets one, up to `slot_limit` in all.
+    * `target_mean`: a category becomes the mean log price of its rows, mixed
+      with the overall mean and, for training rows, taken from other folds than
+      their own.  Grouped and joined on the cluster whatever the number of categories.
+    * `one_hot`: every category gets a slot; the labels are held by the driver,
+      as the library's indexer does.  Unseen values become the all-zero vector.
+
+    `fit_rows` bounds the labelled rows the forest is grown on (those with the
+    smallest hash of the key); fill values and category means use all rows.
     """
+    if encoding not in ("target_mean", "one_hot"):
+        raise ValueError(f"unknown encoding {encoding!r}")
     numeric, categorical = feature_kinds(train, key)
     counts = stage(imputation.category_counts(train, categorical), "category_counts")
     fills: dict = {r.feature: r.median for r in imputation.medians(train, numeric).collect()}
     numeric = [c for c in numeric if fills.get(c) is not None]
     fills = {c: fills[c] for c in numeric}
-    fills.update({r.feature: r["mode"] for r in imputation.modes(counts).collect()})
-    labels = _labels(counts, max_categories, slot_limit)
-    categorical = [c for c in categorical if c in labels]
-
-    stages = []
-    if categorical:
+    modes = {r.feature: r["mode"] for r in imputation.modes(counts).collect()}
+    fills.update(modes)
+    categorical = [c for c in categorical if c in modes]
+    table = _filled(train, numeric, categorical, fills)
+
+    stages, means, overall = [], None, 0.0
+    if encoding == "one_hot" and categorical:
+        labels = _labels(counts)
         indexed, encoded = [f"{c}_index" for c in categorical], [f"{c}_slots" for c in categorical]
         # One model per column: label lists of unlike length would be padded with nulls.
         stages += [
@@ -129,8 +169,16 @@ def fit_price_model(
             for c, i in zip(categorical, indexed)
         ]
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
+        widths = {c: len(labels[c]) for c in categorical}
     else:
-        encoded = []
+        encoded, widths = [f"{c}_mean" for c in categorical], dict.fromkeys(categorical, 1)
+        if categorical:
+            means = stage(category_means(table, categorical, key), "category_means")
+            overall = table.agg(F.avg("log_price")).first()[0] or 0.0
+    if fit_rows is not None:
+        table = table.orderBy(F.xxhash64(key), key).limit(fit_rows)
+    if means is not None:
+        table = stage(_with_means(table, categorical, means, overall, _fold(key)), "encoded")
     stages += [
         VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features"),
         RandomForestRegressor(
@@ -138,9 +186,9 @@ def fit_price_model(
             minInstancesPerNode=1, featureSubsetStrategy="all", seed=seed, cacheNodeIds=True, maxMemoryInMB=1024,
         ),
     ]
-    pipeline = Pipeline(stages=stages).fit(_filled(train, numeric, categorical, fills))
-    slots = {**{c: 1 for c in numeric}, **{c: len(labels[c]) for c in categorical}}
-    return PriceModel(pipeline, tuple(numeric), tuple(categorical), fills, slots)
+    pipeline = Pipeline(stages=stages).fit(table)
+    slots = {**dict.fromkeys(numeric, 1), **widths}
+    return PriceModel(pipeline, tuple(numeric), tuple(categorical), fills, slots, means, overall)
 
 
 def predict(model: PriceModel, table: DataFrame) -> DataFrame:
@@ -150,7 +198,10 @@ def predict(model: PriceModel, table: DataFrame) -> DataFrame:
     """
     inputs = [*model.numeric, *model.categorical]
     kept = table.withColumns({f"_{c}": F.col(c) for c in inputs})
-    scored = model.pipeline.transform(_filled(kept, model.numeric, model.categorical, model.fills))
+    filled = _filled(kept, model.numeric, model.categorical, model.fills)
+    if model.means is not None:
+        filled = _with_means(filled, model.categorical, model.means, model.overall)
+    scored = model.pipeline.transform(filled)
     others = [c for c in table.columns if c not in inputs and c not in (TARGET, "log_price")]
     return scored.select(
         *others,
@@ -170,12 +221,17 @@ def evaluate(predictions: DataFrame) -> DataFrame:
 
 def feature_importance(model: PriceModel, like: DataFrame) -> DataFrame:
     """Importance per original feature, the slots of a category added up."""
-    weights = model.pipeline.stages[-1].featureImportances.toArray()
+    weights = model.pipeline.stages[-1].featureImportances
     names = [c for c, width in model.slots.items() for _ in range(width)]
-    rows = like.sparkSession.createDataFrame(
-        [(n, float(w)) for n, w in zip(names, weights)], "original_feature string, importance double"
-    )
-    return rows.groupBy("original_feature").agg(F.sum("importance").alias("importance")).orderBy(
+    known = zip(weights.indices, weights.values) if hasattr(weights, "indices") else enumerate(weights.toArray())
+    # One row per slot that carries any weight, and one per feature so that none is missing.
+    slots = [(names[i], float(w)) for i, w in known] + [(c, 0.0) for c in model.slots]
+    return importance_by_feature(like.sparkSession.createDataFrame(slots, "original_feature string, importance double"))
+
+
+def importance_by_feature(slots: DataFrame) -> DataFrame:
+    """Importances of slots (`original_feature`, `importance`) added up per feature, largest first."""
+    return slots.groupBy("original_feature").agg(F.sum("importance").alias("importance")).orderBy(
         F.col("importance").desc(), "original_feature"
     )
 
@@ -191,10 +247,9 @@ def actual_vs_predicted(predictions: DataFrame) -> DataFrame:
         F.log1p(F.col("actual_price").cast("double")).alias("log_actual"),
         F.log1p("predicted_price").alias("log_predicted"),
     )
-    ends = points.agg(
+    points = stage(points, "points")  # both ends and points: the model is asked once
+    ends = points.agg(F.struct(
         F.least(F.min("log_actual"), F.min("log_predicted")).alias("low"),
         F.greatest(F.max("log_actual"), F.max("log_predicted")).alias("high"),
-    )
-    return points.withColumns({
-        "diagonal_from": ends.select("low").scalar(), "diagonal_to": ends.select("high").scalar(),
-    })
+    ).alias("ends")).scalar()
+    return points.withColumns({"diagonal_from": ends["low"], "diagonal_to": ends["high"]})

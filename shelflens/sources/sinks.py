@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
 
 BOM = "\ufeff"
 
@@ -51,22 +50,18 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
-def database_options(df: DataFrame, url: str, table: str, connections: int = 32) -> dict[str, str]:
-    """Options to replace a database table through JDBC; text columns are NVARCHAR(MAX).
+def database_options(url: str, table: str, connections: int = 32) -> dict[str, str]:
+    """Options to replace a database table through JDBC; column types are those of Spark's dialect for the url.
 
-    `connections` bounds how many tasks write at a time.
+    For SQL Server text becomes NVARCHAR(MAX).  `connections` bounds how many tasks write at a time.
     """
-    texts = ", ".join(f"`{f.name}` NVARCHAR(MAX)" for f in df.schema.fields if f.dataType == StringType())
-    options = {"url": url, "dbtable": table, "numPartitions": str(connections), "batchsize": "10000"}
-    if texts:
-        options["createTableColumnTypes"] = texts
-    return options
+    return {"url": url, "dbtable": table, "numPartitions": str(connections), "batchsize": "10000"}
 
 
 def load_database(tables: dict[str, DataFrame], url: str, **options: str) -> None:
     """Replace one database table per entry."""
     for name, df in tables.items():
-        df.write.format("jdbc").options(**database_options(df, url, name), **options).mode("overwrite").save()
+        df.write.format("jdbc").options(**database_options(url, name), **options).mode("overwrite").save()
 
 
 def load_tables(spark: SparkSession, folder_tables: dict[str, str]) -> None:

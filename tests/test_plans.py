@@ -220,11 +220,16 @@ def test_csv_sink_writes_byte_order_mark_and_reads_back(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [("1", ' a "b",\nc '), ("2", None)]
 
 
-def test_database_options(spark):
-    df = spark.createDataFrame([(1, "a")], "id long, name string")
-    options = sinks.database_options(df, "jdbc:x", "products_clean")
-    assert options["createTableColumnTypes"] == "`name` NVARCHAR(MAX)"
-    assert "createTableColumnTypes" not in sinks.database_options(df.select("id"), "jdbc:x", "t")
+def test_database_types(spark):
+    """What a SQL Server table is created with, as far as it can be seen without a server."""
+    options = sinks.database_options("jdbc:sqlserver://host;databaseName=d", "products_clean")
+    assert "createTableColumnTypes" not in options and options["dbtable"] == "products_clean"
+    df = spark.createDataFrame([(1, "a", 2.0)], "id long, name string, price double")
+    jvm = spark.sparkContext._jvm
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(options["url"])
+    types = {f.name(): jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.getJdbcType(f.dataType(), dialect)
+             .databaseTypeDefinition() for f in df._jdf.schema().fields()}
+    assert types["name"] == "NVARCHAR(MAX)" and types["id"] == "BIGINT"
 
 
 def test_table_is_replaced(spark, tmp_path):
@@ -323,9 +328,32 @@ def test_price_model(spark, goods):
     assert points.diagonal_from <= points.log_actual <= points.diagonal_to
 
 
-def test_one_hot_size_is_checked(goods):
-    train = price_model.model_table(goods)
-    with pytest.raises(ValueError, match="max_categories"):
-        price_model.fit_price_model(train, slot_limit=5)
-    model = price_model.fit_price_model(train, trees=2, depth=3, max_categories=2, slot_limit=20)
-    assert model.slots["category"] == 2 and model.slots["name"] == 2
+@pytest.mark.parametrize("encoding", ["target_mean", "one_hot"])
+def test_encodings_use_every_category(goods, encoding):
+    table = price_model.model_table(goods).cache()
+    train = table.where("part = 'train'")
+    model = price_model.fit_price_model(train, trees=4, depth=6, encoding=encoding, fit_rows=150)
+    names = train.select("name").dropna().distinct().count()
+    assert model.slots["name"] == (names if encoding == "one_hot" else 1)
+    if encoding == "target_mean":
+        assert model.means.where("feature = 'name'").count() == names
+    scores = price_model.evaluate(price_model.predict(model, table.where("part <> 'train'"))).collect()
+    assert all(r.r2 > 0.5 for r in scores)
+    assert sum(r.importance for r in price_model.feature_importance(model, table).collect()) == pytest.approx(1.0)
+
+
+def test_unknown_encoding(goods):
+    with pytest.raises(ValueError, match="encoding"):
+        price_model.fit_price_model(goods, encoding="other")
+
+
+def test_category_means_leave_the_own_fold_out(spark):
+    rows = [(i, "a" if i % 2 else "b", float(i)) for i in range(40)]
+    table = spark.createDataFrame(rows, "id long, c string, log_price double")
+    means = price_model.category_means(table, ["c"], "id").cache()
+    fold = price_model._fold("id")
+    out = price_model._with_means(table.withColumn("f", fold), ["c"], means, 10.0, fold).collect()
+    for r in out:
+        others = [x.log_price for x in out if x.c == r.c and x.f != r.f]
+        assert r.c_mean == pytest.approx((sum(others) + 50.0) / (len(others) + 5.0))
+
