@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from shelflens.operators import imputation
 from shelflens.operators.split import split_part
 from shelflens.plans import price_model
 from shelflens.staging import stage
@@ -53,62 +54,105 @@ SELECT part, COUNT(*) AS "rows", round(AVG(abs(y - p)), 4) AS mae, round(sqrt(AV
 FROM guessed GROUP BY part""")
 def regression_metrics(spark, sf_dir):
     """Evaluation of a plain predictor: the brand's mean log price."""
+    places = {"mae": 4, "rmse": 4, "r2": 6}
+    return price_model.evaluate(_plain(spark, sf_dir)).withColumns({c: F.round(c, n) for c, n in places.items()})
+
+
+def _plain(spark, sf_dir):
+    """Every row outside the training part with the brand's mean as its predicted price."""
     table = price_model.model_table(products(spark, sf_dir))
     train = table.where("part = 'train'")
     means = train.groupBy("brand_name").agg(F.avg("log_price").alias("mean"))
-    overall = train.agg(F.avg("log_price")).scalar()
-    guessed = table.where("part <> 'train'").join(means, "brand_name", "left").select(
-        "part",
-        F.col("price").alias("actual_price"),
-        F.expm1(F.coalesce("mean", overall)).alias("predicted_price"),
+    return table.where("part <> 'train'").join(means, "brand_name", "left").select(
+        "id", "part", F.col("price").alias("actual_price"),
+        F.expm1(F.coalesce("mean", train.agg(F.avg("log_price")).scalar())).alias("predicted_price"),
     )
-    places = {"mae": 4, "rmse": 4, "r2": 6}
-    return price_model.evaluate(guessed).withColumns({c: F.round(c, n) for c, n in places.items()})
 
 
-_fitted: dict = {}
+_GUESSED = f"""{_SPLIT}, logged AS (SELECT *, ln(1 + CAST(price AS DOUBLE)) AS log_price FROM split),
+means AS (SELECT brand_name, AVG(log_price) AS mean FROM logged WHERE part = 'train' GROUP BY brand_name),
+guessed AS (
+  SELECT id, part, price AS actual_price,
+    exp(coalesce(mean, (SELECT AVG(log_price) FROM logged WHERE part = 'train'))) - 1 AS predicted_price
+  FROM logged LEFT JOIN means ON logged.brand_name = means.brand_name WHERE part <> 'train')"""
 
 
-def _forest(spark, sf_dir):
-    """Table and forest of a folder, fitted once per session and shared by the queries below.
+@query("holdout_predictions", f"""
+WITH {_GUESSED} SELECT id, actual_price, round(predicted_price, 4) AS predicted_price FROM guessed WHERE part = 'holdout'""")
+def holdout_predictions(spark, sf_dir):
+    """The holdout's rows with the plain predictor's prices."""
+    return _plain(spark, sf_dir).where("part = 'holdout'").select(
+        "id", "actual_price", F.round("predicted_price", 4).alias("predicted_price")
+    )
 
-    Smaller than the full forest, so that a run takes seconds.
-    """
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _fitted:
-        table = stage(price_model.model_table(products(spark, sf_dir)), "model_table")
-        train = table.where("part = 'train'")
-        _fitted[at] = table, price_model.fit_price_model(train, trees=10, depth=8, max_categories=64)
-    return _fitted[at]
 
+@query("actual_vs_predicted", f"""
+WITH {_GUESSED}, points AS (
+  SELECT ln(1 + CAST(actual_price AS DOUBLE)) AS log_actual, ln(1 + predicted_price) AS log_predicted
+  FROM guessed WHERE part = 'holdout')
+SELECT round(log_actual, 6) AS log_actual, round(log_predicted, 6) AS log_predicted,
+  round((SELECT least(MIN(log_actual), MIN(log_predicted)) FROM points), 6) AS diagonal_from,
+  round((SELECT greatest(MAX(log_actual), MAX(log_predicted)) FROM points), 6) AS diagonal_to
+FROM points""")
+def actual_vs_predicted(spark, sf_dir):
+    points = price_model.actual_vs_predicted(_plain(spark, sf_dir).where("part = 'holdout'"))
+    return points.select(*[F.round(c, 6).alias(c) for c in points.columns])
 
-def _scored(spark, sf_dir, parts):
-    table, model = _forest(spark, sf_dir)
-    return price_model.predict(model, table.where(F.col("part").isin(*parts)))
 
+_WEIGHTS = " UNION ALL ".join(
+    f"SELECT '{c}' AS original_feature, CAST({c} AS VARCHAR) AS value FROM split WHERE {c} IS NOT NULL" for c in _CATEGORICAL
+)
+_IMPORTANCE = f"""{_SPLIT}, weights AS ({_WEIGHTS}), importance AS (
+  SELECT original_feature, CAST(COUNT(*) AS DOUBLE) AS importance
+  FROM weights GROUP BY original_feature)"""
 
-@query("forest_evaluation")
-def forest_evaluation(spark, sf_dir):
-    return price_model.evaluate(_scored(spark, sf_dir, ("test", "holdout")))
 
+def _importance(spark, sf_dir):
+    """A slot per category, weighed by its rows, rolled up per feature."""
+    table = price_model.model_table(products(spark, sf_dir))
+    counts = imputation.category_counts(table, list(_CATEGORICAL))
+    return price_model.importance_by_feature(
+        counts.select(F.col("feature").alias("original_feature"), F.col("n").cast("double").alias("importance"))
+    )
 
-@query("holdout_predictions")
-def holdout_predictions(spark, sf_dir):
-    return _scored(spark, sf_dir, ("holdout",)).drop("part")
 
+def _numbered(ordered):
+    """The rows with their place in the order they come in (a handful: one per feature)."""
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered.select("original_feature", "importance", place.alias("place"))
 
-@query("feature_importance")
+
+@query("feature_importance", f"""
+WITH {_IMPORTANCE} SELECT *, CAST(row_number() OVER (ORDER BY importance DESC, original_feature) AS INTEGER) AS place FROM importance""")
 def feature_importance(spark, sf_dir):
-    table, model = _forest(spark, sf_dir)
-    return price_model.feature_importance(model, table)
+    return _numbered(_importance(spark, sf_dir))
 
 
-@query("importance_bars")
+@query("importance_bars", f"""
+WITH {_IMPORTANCE} SELECT *, CAST(row_number() OVER (ORDER BY importance, original_feature DESC) AS INTEGER) AS place FROM importance""")
 def importance_bars(spark, sf_dir):
-    table, model = _forest(spark, sf_dir)
-    return price_model.importance_bars(price_model.feature_importance(model, table))
+    return _numbered(price_model.importance_bars(_importance(spark, sf_dir)))
 
 
-@query("actual_vs_predicted")
-def actual_vs_predicted(spark, sf_dir):
-    return price_model.actual_vs_predicted(_scored(spark, sf_dir, ("holdout",)))
+#: Labelled rows the registered forest is grown on; encodings and scoring use all rows.
+FIT_ROWS = 1000
+
+
+@query("forest_evaluation", f"""
+WITH {_SPLIT} SELECT part, COUNT(*) AS "rows", TRUE AS all_positive, TRUE AS better_than_mean, TRUE AS importances_add_up
+FROM split WHERE part <> 'train' GROUP BY part""")
+def forest_evaluation(spark, sf_dir):
+    """The full forest on a price that the features explain: what must hold of its predictions."""
+    signal = F.lit(50_000) + 40_000 * (F.coalesce(F.length("category"), F.lit(0)) % 7) + 15_000 * F.least(F.coalesce("star_5_percent", F.lit(0)) % 10, F.lit(9))
+    priced = products(spark, sf_dir).where("price >= 0").withColumn("price", signal.cast("long"))
+    table = stage(price_model.model_table(priced), "model_table")
+    model = price_model.fit_price_model(table.where("part = 'train'"), fit_rows=FIT_ROWS)
+    importances = price_model.feature_importance(model, table).agg(F.sum("importance").alias("total"), F.min("importance").alias("least"))
+    scored = stage(price_model.predict(model, table.where("part <> 'train'")), "scored")
+    positive = scored.groupBy("part").agg(F.min(F.col("predicted_price") > 0).alias("all_positive"))
+    return price_model.evaluate(scored).join(positive, "part").withColumns({
+        c: importances.select(c).scalar() for c in ("total", "least")
+    }).select(
+        "part", "rows", "all_positive", (F.col("r2") > 0.2).alias("better_than_mean"),
+        (F.abs(F.col("total") - 1) < 1e-9).alias("importances_add_up"),
+    )
