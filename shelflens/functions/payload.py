@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 from ..schema import (
     AMPLITUDE_KEYS, BRAND_KEYS, CATEGORY_KEYS, SELLER_KEYS, STAR_LEVELS, STOCK_ITEM_KEYS,
 )
-from .text import strip, to_double
+from .text import strip, to_double, to_integer
 
 
 def let(value: Column, body) -> Column:
@@ -52,9 +52,15 @@ def stock(detail: Column) -> Column:
     return pack_object(detail["stock_item"], STOCK_ITEM_KEYS)
 
 
+_AUTHOR = ", ".join(f"{c} string" for c in BRAND_KEYS)
+
+
 def brand_or_author(detail: Column) -> Column:
     """Authors where any are listed, else the brand, else empty text."""
-    authors = detail["authors"]
+    # Each element is text of its own: one that is no object does not spoil the list.
+    authors = F.transform(
+        F.filter(detail["authors"], _is_object), lambda a: F.from_json(a, _AUTHOR)
+    )
 
     def joined(field: str, glue: str, usable) -> Column:
         texts = F.filter(F.transform(authors, lambda a: a[field]), usable)
@@ -64,7 +70,7 @@ def brand_or_author(detail: Column) -> Column:
         ("id", joined("id", ",", lambda v: v.isNotNull())),
         ("name", joined("name", ", ", lambda v: v.isNotNull() & (v != ""))),
     ])
-    return F.when(F.size(authors) > 0, authored).otherwise(pack_object(detail["brand"], BRAND_KEYS))
+    return F.when(F.size(detail["authors"]) > 0, authored).otherwise(pack_object(detail["brand"], BRAND_KEYS))
 
 
 def _is_object(text: Column) -> Column:
@@ -101,14 +107,17 @@ def rating_pair(review: Column) -> tuple[Column, Column]:
     The summary is looked at only when one of the two is missing, and then a
     zero counts as missing as well.
     """
-    top = (review["rating_average"], review["reviews_count"])
+    def numbers(of: Column) -> tuple[Column, Column]:
+        return to_double(of["rating_average"]), to_integer(of["reviews_count"])
+
     summary = review["rating_summary"]
+    top, below = numbers(review), numbers(summary)
     consult = summary.isNotNull() & (top[0].isNull() | top[1].isNull())
 
     def pick(value: Column, fallback: Column) -> Column:
         return F.when(consult & (value.isNull() | (value == 0)), fallback).otherwise(value)
 
-    return pick(top[0], summary["rating_average"]), pick(top[1], summary["reviews_count"])
+    return pick(top[0], below[0]), pick(top[1], below[1])
 
 
 def stars(review: Column) -> Column:

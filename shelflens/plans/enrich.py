@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import payload
+from ..functions import payload, text
 from ..schema import RAW_TYPES
+from ..sources import payload_files
 
 DETAIL_KEYS = ("product_id", "spid")
 REVIEW_KEYS = ("product_id", "spid", "seller_id")
@@ -21,6 +22,15 @@ _EMPTY = {
 }
 
 
+def _keys(names: tuple[str, ...]):
+    """Keys as whole numbers, however they are written, and the landing mark where there is one."""
+    return [text.to_integer(F.col(c)).alias(c) for c in names]
+
+
+def _landed(df: DataFrame) -> list[str]:
+    return [payload_files.LANDED] if payload_files.LANDED in df.columns else []
+
+
 def _whole(df: DataFrame):
     return F.struct(*[F.col(c) for c in df.columns])
 
@@ -36,8 +46,10 @@ def flatten_detail(details: DataFrame) -> DataFrame:
         "benefits_count": lambda d: payload.benefits_count(d["benefits"]),
     }
     whole = _whole(details)
+    plain = {c: text.to_type(F.col(c), RAW_TYPES[c]) for c in _DETAIL_FIELDS if c not in columns}
     return details.select(
-        *DETAIL_KEYS, *[(columns[c](whole) if c in columns else F.col(c)).alias(c) for c in _DETAIL_FIELDS]
+        *_keys(DETAIL_KEYS), *_landed(details),
+        *[(columns[c](whole) if c in columns else plain[c]).alias(c) for c in _DETAIL_FIELDS],
     )
 
 
@@ -46,7 +58,7 @@ def flatten_review(reviews: DataFrame) -> DataFrame:
     whole = _whole(reviews)
     rating, count = payload.rating_pair(whole)
     return reviews.select(
-        *REVIEW_KEYS,
+        *_keys(REVIEW_KEYS), *_landed(reviews),
         rating.alias("rating_average"),
         count.alias("reviews_count"),
         payload.stars(whole).alias("stars"),
@@ -58,7 +70,7 @@ def flatten_listing(items: DataFrame) -> DataFrame:
     def field(name):
         if name == "quantity_sold":
             return payload.sold_quantity(F.col(name))
-        return F.col(name).try_cast(RAW_TYPES[name])
+        return text.to_type(F.col(name), RAW_TYPES[name])
 
     return items.select(*[field(c).alias(c) for c in RAW_TYPES if c in items.columns])
 
@@ -80,12 +92,17 @@ def match_names(keys: tuple[str, ...], prefix: str) -> list[str]:
 
 
 def one_per_key(df: DataFrame, keys: tuple[str, ...], prefix: str) -> DataFrame:
-    """One row per key, under its match columns: a payload landed twice must not double its product."""
-    rest = [c for c in df.columns if c not in keys]
-    matched = with_match_keys(df, keys, prefix)
-    return matched.groupBy(*match_names(keys, prefix)).agg(F.max(F.struct(*rest)).alias("_row")).select(
-        *match_names(keys, prefix), "_row.*"
-    )
+    """One row per key, under its match columns: a payload landed twice must not double its product.
+
+    The one landed last wins where that is known, else the largest row.  The
+    choice is cut down in the map tasks, so a hot key costs one row per task.
+    """
+    rest = [c for c in df.columns if c not in (*keys, payload_files.LANDED)]
+    names = match_names(keys, prefix)
+    newest = [F.col(c).desc() for c in _landed(df)]
+    order = Window.partitionBy(*names).orderBy(*newest, F.struct(*rest).desc())
+    placed = with_match_keys(df, keys, prefix).withColumn("_place", F.row_number().over(order))
+    return placed.where("_place = 1").select(*names, *rest)
 
 
 def enrich(items: DataFrame, details: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ LISTING_ITEM = T.StructType([
     )
 ])
 LISTING_PAGE = T.StructType([
-    T.StructField("page", T.LongType()),
+    T.StructField("page", T.StringType()),
     T.StructField("data", T.ArrayType(LISTING_ITEM)),
 ])
 
@@ -121,17 +121,18 @@ STOCK_ITEM_KEYS = ("max_sale_qty", "min_sale_qty", "qty")
 CATEGORY_KEYS = ("id", "name", "is_leaf")
 BRAND_KEYS = ("id", "name")
 
+# Numbers are read as text: `3300.0` and `"12"` are whole numbers too, and are converted where they are used.
 DETAIL = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("spid", T.LongType()),
+    T.StructField("product_id", T.StringType()),
+    T.StructField("spid", T.StringType()),
     T.StructField("tracking_info", T.StructType([
         T.StructField("amplitude", _texts(*AMPLITUDE_KEYS)),
     ])),
     T.StructField("inventory_status", T.StringType()),
     T.StructField("inventory_type", T.StringType()),
-    T.StructField("data_version", T.LongType()),
-    T.StructField("day_ago_created", T.LongType()),
-    T.StructField("authors", T.ArrayType(_texts(*BRAND_KEYS))),
+    T.StructField("data_version", T.StringType()),
+    T.StructField("day_ago_created", T.StringType()),
+    T.StructField("authors", T.ArrayType(T.StringType())),
     T.StructField("brand", _texts(*BRAND_KEYS)),
     T.StructField("current_seller", _texts(*SELLER_KEYS)),
     T.StructField("stock_item", _texts(*STOCK_ITEM_KEYS)),
@@ -140,15 +141,15 @@ DETAIL = T.StructType([
 ])
 
 REVIEW = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("spid", T.LongType()),
-    T.StructField("seller_id", T.LongType()),
-    T.StructField("rating_average", T.DoubleType()),
-    T.StructField("reviews_count", T.LongType()),
+    T.StructField("product_id", T.StringType()),
+    T.StructField("spid", T.StringType()),
+    T.StructField("seller_id", T.StringType()),
+    T.StructField("rating_average", T.StringType()),
+    T.StructField("reviews_count", T.StringType()),
     T.StructField("stars", T.StringType()),
     T.StructField("rating_summary", T.StructType([
-        T.StructField("rating_average", T.DoubleType()),
-        T.StructField("reviews_count", T.LongType()),
+        T.StructField("rating_average", T.StringType()),
+        T.StructField("reviews_count", T.StringType()),
         T.StructField("stars", T.StringType()),
     ])),
 ])

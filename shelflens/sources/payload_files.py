@@ -4,20 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import text
 from ..schema import DETAIL, LISTING_PAGE, REVIEW
 
 
-def read_listing(spark: SparkSession, path: str, first_page: int = 1, last_page: int | None = None) -> DataFrame:
+LANDED = "_landed"  # when and in which file a payload landed: the later of two wins
+
+
+def _read(spark: SparkSession, path: str, schema, mode: str, multi_line: bool) -> DataFrame:
+    """Payloads of a folder.
+
+    By default text that is not JSON fails the job (`mode`: `DROPMALFORMED`
+    leaves it out).  One payload per line, or with `multi_line` one document per file.
+    """
+    rows = spark.read.schema(schema).options(mode=mode, multiLine=multi_line).json(path)
+    return rows.withColumn(LANDED, F.struct("_metadata.file_modification_time", "_metadata.file_path"))
+
+
+def read_listing(
+    spark: SparkSession, path: str, first_page: int = 1, last_page: int | None = None,
+    mode: str = "FAILFAST", multi_line: bool = False,
+) -> DataFrame:
     """Listed products of the pages from `first_page` up to the first empty one.
 
     Pages after an empty one are left out, as a crawl stops there.
     """
-    return listed_items(spark.read.schema(LISTING_PAGE).json(path), first_page, last_page)
+    return listed_items(_read(spark, path, LISTING_PAGE, mode, multi_line), first_page, last_page)
 
 
 def listed_items(pages: DataFrame, first_page: int = 1, last_page: int | None = None) -> DataFrame:
     """One row per listed product: `page` and the item's fields."""
-    pages = pages.where(F.col("page") >= first_page)
+    pages = pages.withColumn("page", text.to_integer(F.col("page").cast("string"))).where(F.col("page") >= first_page)
     if last_page is not None:
         pages = pages.where(F.col("page") <= last_page)
     items = F.coalesce(F.size("data"), F.lit(0))
@@ -26,14 +43,14 @@ def listed_items(pages: DataFrame, first_page: int = 1, last_page: int | None =
     return kept.select("page", F.inline("data"))
 
 
-def read_detail(spark: SparkSession, path: str) -> DataFrame:
+def read_detail(spark: SparkSession, path: str, mode: str = "FAILFAST", multi_line: bool = False) -> DataFrame:
     """Detail payloads, keyed by `product_id`, `spid`."""
-    return spark.read.schema(DETAIL).json(path)
+    return _read(spark, path, DETAIL, mode, multi_line)
 
 
-def read_review(spark: SparkSession, path: str) -> DataFrame:
+def read_review(spark: SparkSession, path: str, mode: str = "FAILFAST", multi_line: bool = False) -> DataFrame:
     """Review payloads, keyed by `product_id`, `spid`, `seller_id`."""
-    return spark.read.schema(REVIEW).json(path)
+    return _read(spark, path, REVIEW, mode, multi_line)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -272,6 +273,43 @@ def test_enrich_keeps_products_without_payloads(spark):
     assert (rows[3].current_seller, rows[3].benefits_count, rows[3].price) == ("", 0, 300)
 
 
+def test_payload_numbers_in_any_spelling(spark):
+    details = spark.createDataFrame([
+        ('{"product_id": "1", "spid": 11.0, "data_version": 3300.0, "day_ago_created": "7",'
+         ' "authors": [{"id": 1, "name": "A"}, "loose", {"id": 2, "name": "B"}], "brand": {"id": 9, "name": "N"}}',),
+        ('{"product_id": 2, "spid": 5, "authors": ["loose"], "brand": {"id": 9, "name": "N"}}',),
+    ], "j string").select(F.from_json("j", DETAIL).alias("p")).select("p.*")
+    rows = {r.product_id: r for r in enrich.flatten_detail(details).collect()}
+    assert (rows[1].spid, rows[1].data_version, rows[1].day_ago_created) == (11, 3300, 7)
+    assert rows[1].brand_or_author == "id:1,2; name:A, B"
+    reviews = spark.createDataFrame(
+        [('{"product_id": 1.0, "spid": "11", "seller_id": 3, "rating_average": "4.5", "reviews_count": 12.0}',)], "j string"
+    ).select(F.from_json("j", REVIEW).alias("p")).select("p.*")
+    assert tuple(enrich.flatten_review(reviews).first())[:5] == (1, 11, 3, 4.5, 12)
+    items = spark.createDataFrame([("1", "1242000.0", "1.5e6", "12.0")], "id string, price string, original_price string, discount string")
+    assert tuple(enrich.flatten_listing(items).select("price", "original_price", "discount").first()) == (1242000, 1500000, 12)
+
+
+def test_broken_payload_fails_the_job(spark, tmp_path):
+    put(tmp_path / "d.json", b'{"product_id": 1, "spid": 2}\n{"product_id": 3, "spid"\n')
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        payload_files.read_detail(spark, str(tmp_path)).collect()
+    assert [r.product_id for r in payload_files.read_detail(spark, str(tmp_path), mode="DROPMALFORMED").collect()] == ["1"]
+
+
+def test_payload_over_many_lines(spark, tmp_path):
+    put(tmp_path / "d.json", json.dumps({"product_id": 1, "spid": 2}, indent=2).encode())
+    assert payload_files.read_detail(spark, str(tmp_path), multi_line=True).first().product_id == "1"
+
+
+def test_payload_landed_last_wins(spark, tmp_path):
+    for at, name in ((2_000_000_000, "a.json"), (1_000_000_000, "b.json")):
+        put(tmp_path / "d" / name, json.dumps({"product_id": 1, "spid": 2, "inventory_status": name}).encode())
+        os.utime(tmp_path / "d" / name, (at, at))
+    details = enrich.flatten_detail(payload_files.read_detail(spark, str(tmp_path / "d")))
+    assert [r.inventory_status for r in enrich.one_per_key(details, enrich.DETAIL_KEYS, "_d").collect()] == ["a.json"]
+
+
 # ------------------------------------------------------------------- models
 
 
