@@ -67,6 +67,11 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def raw_table(spark, source: str, csv: bool):
+    """The raw rows of an earlier job: CSV with `--csv`, else Parquet."""
+    return ingest.merge_raw_files(spark, source) if csv else spark.read.parquet(source)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"shelflens {args.job}")
@@ -78,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "merge-raw":
         sinks.write_merged(ingest.merge_raw_files(spark, args.source), args.out, form)
     elif args.job == "clean":
-        sinks.write_merged(clean.clean_products(spark.read.parquet(args.source)), args.out, form)
+        sinks.write_merged(clean.clean_products(raw_table(spark, args.source, args.csv)), args.out, form)
     elif args.job == "enrich":
         rows = enrich.enrich(
             payload_files.read_listing(spark, args.listing), payload_files.read_detail(spark, args.detail),

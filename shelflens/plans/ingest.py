@@ -52,11 +52,15 @@ def merge_category_folders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def merge_raw_files(spark: SparkSession, root: str) -> DataFrame:
-    """All CSV files in `root`, merged files of an earlier run left out."""
+    """All CSV files in `root` and in the folders per category that `write_by_category` makes below it.
+
+    Merged files of an earlier run are left out.  A file's own `category` wins,
+    so names that a path has to escape come back as they were.
+    """
     name = decoded(F.col(FILE_NAME))
     frames = [
         _without_file(with_missing_provenance(df, stem(name), name))
-        for df in read_by_name(spark, f"{root}/*.csv", leave_out=MERGED_NAME)
+        for df in read_by_name(spark, f"{root}/{{*.csv,folder=*/*.csv}}", leave_out=MERGED_NAME)
     ]
     return union_by_name(frames)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from shelflens.__main__ import main
+from shelflens.plans import ingest
+from shelflens.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +49,23 @@ def test_chain(spark, folders):
 def test_csv_chain(spark, folders):
     at = lambda *parts: str(folders.joinpath(*parts))
     main(["--csv", "merge-folders", at("crawl"), at("raw_csv")])
-    main(["merge-raw", at("raw_csv", "folder=cat 1"), at("merged")])
+    main(["merge-raw", at("raw_csv"), at("merged")])
     merged = spark.read.parquet(at("merged"))
-    assert merged.count() == 40
-    assert merged.select("category", "source_file").distinct().first() == ("cat 1", "page01.csv")
+    assert merged.count() == 120
+    seen = {tuple(r) for r in merged.select("category", "source_file").distinct().collect()}
+    assert {c for c, _ in seen} == {"cat 0", "cat 1", "cat 2"} and ("cat 1", "page01.csv") in seen
+    main(["--csv", "clean", at("raw_csv"), at("clean_csv")])
+    assert spark.read.option("header", True).csv(at("clean_csv")).count() == 120
+
+
+def test_categories_come_back_unchanged(spark, tmp_path):
+    """Names that paths escape, that look like numbers, and none at all, through CSV and Parquet."""
+    names = ["a/b", "cat: x", "kid's", "50% off", "c=d", "007", "010", None]
+    rows = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "id string, category string")
+    want = {(str(i), n) for i, n in enumerate(names)}
+    sinks.write_by_category(rows, str(tmp_path / "csv"), "csv")
+    back = ingest.merge_raw_files(spark, str(tmp_path / "csv"))
+    assert {tuple(r) for r in back.select("id", "category").collect()} == want
+    sinks.write_by_category(rows, str(tmp_path / "parquet"))
+    back = spark.read.parquet(str(tmp_path / "parquet"))
+    assert {tuple(r) for r in back.select("id", "category").collect()} == want
