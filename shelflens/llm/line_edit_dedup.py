@@ -23,6 +23,8 @@ on whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..staging import stage, unstage
@@ -137,9 +139,9 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
     ))
 
 
-def _let(value: Column, use) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
+    return F.get(F.transform(F.array(value), lambda x: use(x)), 0)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -199,6 +201,32 @@ def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
     return met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def without_common_ends(a: Column, b: Column, max_edits: int, rounds: int = 3) -> Column:
+    """The two texts (`a`, `b`) without equal beginnings and ends, which cost no edits.
+
+    Each round compares and cuts a half of what is left from either end; enough stays for the band.
+    """
+    def first(both: Column, half: Column) -> Column:
+        x, y = both["a"], both["b"]
+        return F.when(F.left(x, half) == F.left(y, half), F.struct(
+            F.substring(x, half + 1, F.char_length(x)).alias("a"), F.substring(y, half + 1, F.char_length(y)).alias("b"),
+        )).otherwise(both)
+
+    def last(both: Column, half: Column) -> Column:
+        x, y = both["a"], both["b"]
+        return F.when(F.right(x, half) == F.right(y, half), F.struct(
+            F.left(x, F.char_length(x) - half).alias("a"), F.left(y, F.char_length(y) - half).alias("b"),
+        )).otherwise(both)
+
+    both = F.struct(a.alias("a"), b.alias("b"))
+    for cut in (first, last) * rounds:
+        both = _let(both, lambda s, cut=cut: _let(
+            F.greatest(F.floor((F.least(F.char_length(s["a"]), F.char_length(s["b"])) - (2 * max_edits + 2)) / 2).cast("int"), F.lit(0)),
+            lambda half: cut(s, half),
+        ))
+    return both
+
+
 def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
     """Pairs of different lines within `max_edits` edits, each in both directions.
 
@@ -214,7 +242,8 @@ def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"))
     # Dealt out evenly: verifying is the costly part, and pairs of one line lie together.
     met = pairs.join(left, "a").join(right, "b").repartition(F.xxhash64("a", "b"))
-    near = met.where(banded_distance(F.col("line_a"), F.col("line_b"), max_edits) <= max_edits)
+    rest = without_common_ends(F.col("line_a"), F.col("line_b"), max_edits)
+    near = met.where(_let(rest, lambda r: banded_distance(r["a"], r["b"], max_edits)) <= max_edits)
     found = stage(near.select(*_line_hashes("line_a", "a"), *_line_hashes("line_b", "b")).distinct(), "line-links")
     names = ["a_key", "a_check", "b_key", "b_check"]
     return found.union(found.select(*[F.col(n) for n in names[2:] + names[:2]]).toDF(*names))

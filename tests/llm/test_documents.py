@@ -120,6 +120,21 @@ def test_banded_distance(spark, edits):
         assert r.d == true if true <= edits else r.d > edits
 
 
+def test_common_ends_cost_nothing(spark):
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choice("abé") for _ in range(rng.randint(20, 60)))
+        at = rng.randrange(len(a))
+        pairs.append((a, a[:at] + rng.choice(["", "a", "bé"]) + a[at + rng.randint(0, 2):]))
+    frame = spark.createDataFrame([p for p in pairs if abs(len(p[0]) - len(p[1])) <= 2], "a string, b string")
+    rest = line_edit_dedup.without_common_ends(F.col("a"), F.col("b"), 2)
+    cut = frame.select("a", "b", rest.alias("rest")).select("a", "b", F.col("rest.a").alias("rest_a"), F.col("rest.b").alias("rest_b")).collect()
+    for r in cut:
+        assert edit_distance(r.rest_a, r.rest_b) == edit_distance(r.a, r.b) and min(len(r.rest_a), len(r.rest_b)) >= 6
+    assert sum(len(r.rest_a) for r in cut) < 0.7 * sum(len(r.a) for r in cut)
+
+
 def test_line_dedup(docs, rows):
     done = line_edit_dedup.dedup_lines(docs).select("row.doc_id", "row.text", "lines_kept", "n_lines", "n_links", "n_exact", "n_near")
     places = defaultdict(list)
