@@ -40,6 +40,8 @@ QUANTILE = 0.99
 MARGIN = 1.5
 BROADCAST_GRAMS = 4_000_000
 HELD_GRAMS = 1 << 20
+#: Ids of trusted documents up to this number are sent to the tasks; beyond it texts are joined to them by shuffle.
+BROADCAST_TRUSTED = 1_000_000
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,26 +145,26 @@ def _scores_by_broadcast(docs: DataFrame, table: DataFrame) -> DataFrame:
     order = np.argsort(keys)
     known = docs.sparkSession.sparkContext.broadcast((keys[order], logs[order]))
     schema = T.StructType([
-        *[docs.schema[c] for c in ("doc_id", "lang", "text_key", "trusted")],
+        *[docs.schema[c] for c in ("doc_id", "lang")],
         T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType()),
     ])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs = known.value
         for batch in batches:
-            for part in ta.slices(batch, 4):
-                own, owner = grams([t or "" for t in part.column(4).to_pylist()])
+            for part in ta.slices(batch, 2):
+                own, owner = grams([t or "" for t in part.column(2).to_pylist()])
                 different, inverse = np.unique(own, return_inverse=True)
                 values = logs[np.searchsorted(keys, different)]
                 rows = part.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:4], pa.array(np.bincount(owner, minlength=rows)),
+                    [*part.columns[:2], pa.array(np.bincount(owner, minlength=rows)),
                      pa.array(np.bincount(owner, values[inverse], rows) if len(owner) else np.zeros(rows))],
                     names=schema.names,
                 )
 
-    return docs.select("doc_id", "lang", "text_key", "trusted", "text").mapInArrow(score, schema).select(
-        "doc_id", "lang", "trusted", "n", _perplexity(F.col("total"), F.col("n")).alias("perplexity")
+    return docs.select("doc_id", "lang", "text").mapInArrow(score, schema).select(
+        "doc_id", "lang", "n", _perplexity(F.col("total"), F.col("n")).alias("perplexity")
     )
 
 
@@ -195,7 +197,7 @@ def _scores_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
     d, s = docs.drop("text").alias("d"), sums.alias("s")
     joined = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_key") == F.col("s.text_key")), "left")
     return joined.select(
-        "d.doc_id", "d.lang", "d.trusted", F.coalesce("n", F.lit(0)).alias("n"),
+        "d.doc_id", "d.lang", F.coalesce("n", F.lit(0)).alias("n"),
         _perplexity(F.col("total"), F.col("n")).alias("perplexity"),
     )
 
@@ -210,17 +212,23 @@ def judge_by_perplexity(
         labels.groupBy(labels[id_col].alias("_id")).agg(F.min(labels[label_col].cast("int")).alias("least"))
         .where("_id IS NOT NULL AND least = 1").select("_id", F.lit(True).alias("trusted"))
     )
+    trusted = stage(trusted, "trusted")
+    few = trusted.limit(BROADCAST_TRUSTED + 1).count() <= BROADCAST_TRUSTED
+
+    def marked(df: DataFrame, ids: DataFrame) -> DataFrame:
+        joined = df.join(ids, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+        return joined.withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+
     text = docs[text_col].cast("string")
     narrow = docs.select(
         docs[id_col].alias("doc_id"), docs[lang_col].cast("string").alias("lang"), text.alias("text"),
         F.xxhash64(text).alias("text_key"),
-    ).join(trusted, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", "lang", "text_key", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text"
     )
-    counted = stage(gram_counts(narrow), "grams")
+    with_text = marked(narrow.select("doc_id", "text"), F.broadcast(trusted) if few else trusted)
+    counted = stage(gram_counts(with_text), "grams")
     table = stage(gram_probabilities(counted), "probabilities")
     small = table.limit(broadcast_grams + 1).count() <= broadcast_grams
-    scored = stage((_scores_by_broadcast if small else _scores_by_join)(narrow, table), "scores")
+    scored = stage(marked((_scores_by_broadcast if small else _scores_by_join)(narrow, table), trusted), "scores")
     good = scored.where("trusted AND perplexity IS NOT NULL")
     lang = F.coalesce(F.col("lang"), F.lit("")).alias("name"), F.col("lang").isNull().alias("none")
     per_lang = exact_quantile(good.select(*lang, "perplexity"), "perplexity", quantile, ["name", "none"], "own")
