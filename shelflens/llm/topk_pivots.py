@@ -31,7 +31,7 @@ from ..staging import stage
 PIVOTS = 32
 QUERY_ROWS = 512
 CANDIDATE_ROWS = 2048
-STEP = 256
+STEP = 512
 
 
 def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
@@ -94,24 +94,46 @@ def search_block(
         2 * radius2 - 2 * (_products(rows, pivots) + np.outer(lift(rows), lift(pivots))), 0
     )).astype(np.float32)
     bounds = np.zeros((len(queries), len(rows)), np.float32)
-    for p in range(len(pivots)):
-        np.maximum(bounds, np.abs(query_table[:, p, None] - row_table[None, :, p]), out=bounds)
+    apart = np.empty(len(rows), np.float32)
+    columns = np.ascontiguousarray(row_table.T)
+    for q in range(len(queries)):
+        for p in range(len(pivots)):
+            np.subtract(columns[p], query_table[q, p], out=apart)
+            np.abs(apart, out=apart)
+            np.maximum(bounds[q], apart, out=bounds[q])
     exact = rows.astype(np.float64) if max(np.abs(rows).max(initial=0), np.abs(queries).max(initial=0)) < 2**20 else rows
+    asked = queries.astype(exact.dtype)
     for q in range(len(queries)):
         # The pivots are rows too: the k-th best of them is a first limit.
         others = to_pivots[q][pivot_ids != query_ids[q]]
         least = np.partition(others, len(others) - k)[len(others) - k] if len(others) >= k else None
         reach = lambda s, q=q: np.sqrt(max(2 * radius2 - 2 * stretch[q] * float(s), 0)) + slack if length[q] else np.inf
         limit = np.inf if least is None else reach(least)
-        alive = np.flatnonzero((bounds[q] <= limit) & (ids != query_ids[q]))
-        alive = alive[np.argsort(bounds[q][alive], kind="stable")]
-        best_id, best = np.zeros(0, ids.dtype), np.zeros(0, np.int64)
-        at = 0
-        while at < len(alive) and bounds[q][alive[at]] <= limit:
-            some = alive[at:at + STEP]
-            at += STEP
-            found = (exact[some] @ queries[q].astype(exact.dtype)).astype(np.int64)
+        own = bounds[q]
+        alive = np.flatnonzero((own <= limit) & (ids != query_ids[q]))
+        best_id, best, at, step, ordered = np.zeros(0, ids.dtype), np.zeros(0, np.int64), 0, STEP, False
+        while at < len(alive):
+            if not ordered and at == 0 and len(alive) > 2 * STEP:
+                # The smallest bounds first; the rest is put in order once these have set a limit.
+                alive = alive[np.argpartition(own[alive], STEP)]
+            elif not ordered:
+                rest = alive[at:]
+                rest = rest[own[rest] <= limit]
+                alive, at, ordered = rest[np.argsort(own[rest], kind="stable")], 0, True
+                continue
+            elif own[alive[at]] > limit:
+                break
+            some = alive[at:at + step]
+            at += step
+            step *= 2
+            found = (exact[some] @ asked[q]).astype(np.int64)
+            if len(best) == k:
+                good = found >= best[-1]
+                some, found = some[good], found[good]
             best_id, best = np.concatenate([best_id, ids[some]]), np.concatenate([best, found])
+            if len(best) > 4 * k:
+                good = best >= np.partition(best, len(best) - k)[len(best) - k]
+                best_id, best = best_id[good], best[good]
             order = np.lexsort((best_id, -best))[:k]
             best_id, best = best_id[order], best[order]
             if len(best) == k:
