@@ -1,5 +1,6 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame functions only.
 
+How many edits are near grows with the length of the shorter line, in `bands`.
 Two lines within `max_edits` edits: cut the shorter into `max_edits + 1` segments
 and one of them occurs unchanged in the longer, at a place that the edits on
 either side of it can explain.  Each line is written under its own segments
@@ -11,9 +12,9 @@ variants of one sentence from being paired with each other.  Candidates are
 verified by edit distance over a diagonal band of `2 * max_edits + 1` cells held
 in the bits of one number.
 
-A line is dropped when an equal line, or one within `max_edits`, stands earlier
-in the corpus (by document id, null ids last, then text hash and line number).
-Lines shorter than `min_chars` take no part and stay.
+A line is dropped when an equal line, or a near one, stands earlier in the
+corpus (by document id, null ids last, then text hash and line number).  Lines
+shorter than the first band take no part and stay.
 
 Defined cases: a null text stays null and has no lines; an empty text has one
 empty line, which stays; a document all of whose lines go keeps an empty text;
@@ -24,21 +25,29 @@ on whatever their names.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..staging import stage, unstage
 
-MAX_EDITS = 2
-MIN_CHARS = 20
+#: (length, edits): lines are near within so many edits if the shorter one has at least that length.
+BANDS = ((20, 2), (60, 3), (80, 4), (120, 6))
+#: Shorter lines take no part and stay.
+MIN_CHARS = BANDS[0][0]
 #: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
 LETTERS = "etnaisroh"
 _HASH_BITS = 63 - 2 * len(LETTERS)
 _ID = (1 << 63) - 1
+#: The bits of a key that hold the edits allowed.
+_EDITS = 15
 #: Candidate lines up to this number are sent to the tasks; beyond it they are joined by shuffle.
 BROADCAST_LINES = 500_000
 
 
+Bands = tuple[tuple[int, int], ...]
+
+
 def wide(line: Column) -> Column:
     """The line with four bytes to the character, so that a part of it is found without counting."""
     return F.encode(line, "UTF-32")
@@ -58,27 +67,51 @@ def segment_reads(max_edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def segment_keys(cut: DataFrame, reads: list[tuple[int, int, int]], max_edits: int, id_name: str) -> DataFrame:
+def _edits(length: Column, bands: Bands) -> Column:
+    """Edits allowed where the shorter line has this length."""
+    allowed = F.lit(bands[0][1])
+    for least, edits in bands[1:]:
+        allowed = F.when(length >= least, edits).otherwise(allowed)
+    return allowed
+
+
+def _reads(n: Column, reads_of: Callable[[int], list[tuple[int, int, int]]], bands: Bands) -> Column:
+    """The reads of a line: those of its own band, and of bands below that a shorter line can be in."""
+    names = ("edits", "least", "below", "less", "segment", "shift")
+    ends = [least for least, _ in bands[1:]] + [_ID >> 32]
+    each = [
+        (least, end + edits, [F.struct(*[F.lit(x).alias(c) for x, c in zip((edits, least, end, *r), names, strict=True)]) for r in reads_of(edits)])
+        for (least, edits), end in zip(bands, ends, strict=True)
+    ]
+    starts = sorted({x for least, end, _ in each for x in (least, end)} - {each[-1][1]})
+    listed = F.array(*each[0][2])
+    for start in starts:
+        held = [r for least, end, reads in each if least <= start < end for r in reads]
+        listed = F.when(n >= start, F.array(*held)).otherwise(listed)
+    return listed
+
+
+def segment_keys(cut: DataFrame, reads_of: Callable[[int], list[tuple[int, int, int]]], bands: Bands, id_name: str) -> DataFrame:
     """`id_name` (sign bit set for reads of shorter lines), `key` per line and read; lines as `line_id`, `n` (length) and `text` (wide).
 
-    Segments are those of an even cut, the longer ones last.  One row per read
+    Segments are those of an even cut, the longer ones last; the shorter line's
+    band says how many, and stands in the last bits of the key.  One row per read
     keeps the generated code small enough to be compiled.
     """
-    parts = max_edits + 1
-    listed = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(r, ("less", "segment", "shift"), strict=True)]) for r in reads])
-    each = cut.select("line_id", "n", "text", F.inline(listed))
-    length = F.col("n") - F.col("less")
-    measured = each.select(
-        "line_id", "n", "text", "segment", "shift", length.alias("length"),
+    each = cut.select("line_id", "n", "text", F.inline(_reads(F.col("n"), reads_of, bands)))
+    length, parts = F.col("n") - F.col("less"), F.col("edits") + 1
+    measured = each.where((length >= F.col("least")) & (length < F.col("below"))).select(
+        "line_id", "n", "text", "edits", "segment", "shift", length.alias("length"),
         F.floor(length / parts).cast("int").alias("short"), (parts - length % parts).alias("longer_from"),
     )
     start = F.col("short") * F.col("segment") + F.greatest(F.col("segment") - F.col("longer_from"), F.lit(0)) + F.col("shift")
     size = F.col("short") + (F.col("segment") >= F.col("longer_from")).cast("int")
-    placed = measured.select("line_id", "n", "text", "segment", "length", start.alias("start"), size.alias("size"))
+    placed = measured.select("line_id", "n", "text", "edits", "segment", "length", start.alias("start"), size.alias("size"))
     return placed.where("start >= 0 AND start + size <= n").select(
         F.when(F.col("length") < F.col("n"), F.col("line_id").bitwiseOR(F.lit(~_ID))).otherwise(F.col("line_id"))
         .alias(id_name),
-        F.xxhash64("segment", "length", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size"))).alias("key"),
+        F.xxhash64("segment", "length", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size")))
+        .bitwiseAND(F.lit(~_EDITS)).bitwiseOR(F.col("edits").cast("long")).alias("key"),
     )
 
 
@@ -144,14 +177,14 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: use(x)), 0)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A row per line that takes part: its document, place, text and two hashes of it."""
     text = docs[text_col].cast("string")
     cut = docs.select(
         docs[id_col].alias("doc_id"), F.xxhash64(text).alias("text_key"),
         F.posexplode(F.split(text, "\n")).alias("pos", "line"),
     )
-    return cut.where(F.char_length("line") >= min_chars).select(
+    return cut.where(F.char_length("line") >= MIN_CHARS).select(
         "doc_id", "text_key", "pos", "line",
         *_line_hashes("line", "line"),
     )
@@ -188,17 +221,23 @@ def meeting_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
+def candidate_pairs(different: DataFrame, bands: Bands) -> DataFrame:
     """`a`, `b` (a < b): ids of different lines that meet under a segment key and can be within reach."""
     cut = different.select("line_id", F.char_length("line").alias("n"), wide(F.col("line")).alias("text"))
-    index = segment_keys(cut, [(0, i, 0) for i in range(max_edits + 1)], max_edits, "a")
-    probe = segment_keys(cut, segment_reads(max_edits), max_edits, "b")
     # A longer line has its sign bit set.  Lines of one length probe each other; one direction is enough.
     a, b = F.col("a"), F.col("b").bitwiseAND(F.lit(_ID))
-    met = index.join(probe, "key").where(
-        ((F.col("b") < 0) | (a < b)) & (a != b) & (_count_gap(a, b) <= 2 * max_edits)
-    )
-    return met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    found = []
+    # Keys of different segments never meet: one segment after another keeps the shuffles small.
+    for segment in range(bands[-1][1] + 1):
+        held = tuple(x for x in bands if x[1] >= segment)
+        some = cut.where(F.col("n") >= held[0][0])
+        index = segment_keys(some, lambda edits, i=segment: [(0, i, 0)], held, "a")
+        probe = segment_keys(some, lambda edits, i=segment: [r for r in segment_reads(edits) if r[1] == i], held, "b")
+        met = index.join(probe, "key").where(
+            ((F.col("b") < 0) | (a < b)) & (a != b) & (_count_gap(a, b) <= 2 * F.col("key").bitwiseAND(F.lit(_EDITS)))
+        )
+        found.append(stage(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), f"segment{segment}"))
+    return reduce(DataFrame.union, found).distinct()
 
 
 def without_common_ends(a: Column, b: Column, max_edits: int, rounds: int = 3) -> Column:
@@ -227,13 +266,27 @@ def without_common_ends(a: Column, b: Column, max_edits: int, rounds: int = 3) -
     return both
 
 
-def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
-    """Pairs of different lines within `max_edits` edits, each in both directions.
+def within_reach(a: Column, b: Column, bands: Bands) -> Column:
+    """Whether two lines are within the edits of the shorter one's band."""
+    def near(n_a: Column, n_b: Column) -> Column:
+        n = F.least(n_a, n_b)
+        verdict = F.lit(False)
+        for least, edits in bands:
+            rest = without_common_ends(a, b, edits)
+            distance = _let(rest, lambda r, edits=edits: banded_distance(r["a"], r["b"], edits))
+            verdict = F.when(n >= least, distance <= edits).otherwise(verdict)
+        return (F.abs(n_a - n_b) <= _edits(n, bands)) & verdict
+
+    return near(F.char_length(a), F.char_length(b))
+
+
+def line_links(lines: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs of different lines within the edits of `bands`, each in both directions.
 
     `a_key`, `a_check`, `b_key`, `b_check`: the two hashes of either line.
     """
     different = stage(meeting_lines(lines), "different-lines")
-    pairs = stage(candidate_pairs(different, max_edits), "candidates")
+    pairs = stage(candidate_pairs(different, bands), "candidates")
     ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
     few = ends.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     texts = stage(different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi"), "texts")
@@ -242,8 +295,7 @@ def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"))
     # Dealt out evenly: verifying is the costly part, and pairs of one line lie together.
     met = pairs.join(left, "a").join(right, "b").repartition(F.xxhash64("a", "b"))
-    rest = without_common_ends(F.col("line_a"), F.col("line_b"), max_edits)
-    near = met.where(_let(rest, lambda r: banded_distance(r["a"], r["b"], max_edits)) <= max_edits)
+    near = met.where(within_reach(F.col("line_a"), F.col("line_b"), bands))
     found = stage(near.select(*_line_hashes("line_a", "a"), *_line_hashes("line_b", "b")).distinct(), "line-links")
     names = ["a_key", "a_check", "b_key", "b_check"]
     return found.union(found.select(*[F.col(n) for n in names[2:] + names[:2]]).toDF(*names))
@@ -258,18 +310,18 @@ def _place() -> Column:
 
 
 def line_verdicts(
-    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+    docs: DataFrame, bands: Bands = BANDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """A row per line that takes part: `doc_id`, `text_key`, `pos`, `n_links`, `exact`, `near`.
 
-    `exact`: an equal line stands earlier; `near`: one within `max_edits` does;
-    `n_links`: different lines within `max_edits`.
+    `exact`: an equal line stands earlier; `near`: one within the edits of `bands`
+    does; `n_links`: different lines within them.
     """
-    if min_chars <= 2 * max_edits:
-        raise ValueError("min_chars must be more than twice max_edits")
-    lines = _lines(docs, id_col, text_col, min_chars)
-    links = line_links(lines, max_edits)
+    if any(least <= 2 * e or e > _EDITS for least, e in bands) or any(a >= c or b > d for (a, b), (c, d) in zip(bands, bands[1:])):
+        raise ValueError(f"bands must rise, with lines of more than twice the edits and {_EDITS} edits at most")
+    lines = _lines(docs, id_col, text_col)
+    links = line_links(lines, bands)
     places = stage(lines.drop("line"), "places")
     distinct = stage(
         places.groupBy("line_key", "line_check").agg(F.min(_place()).alias("first")), "distinct-lines"
@@ -291,11 +343,11 @@ def line_verdicts(
 
 
 def dedup_lines(
-    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+    docs: DataFrame, bands: Bands = BANDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """`row` (the input row), `lines_kept` (text without its dropped lines) and counts per document."""
-    verdicts = line_verdicts(docs, max_edits, min_chars, id_col, text_col)
+    verdicts = line_verdicts(docs, bands, id_col, text_col)
     per_doc = (
         # Rows with the same id and text give the same verdicts: one is enough.
         verdicts.where("exact OR near OR n_links > 0")
@@ -339,11 +391,11 @@ def dedup_lines(
 
 
 def without_repeated_lines(
-    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+    docs: DataFrame, bands: Bands = BANDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """The documents with their text cut to the lines that stay; columns as they were."""
-    done = dedup_lines(docs, max_edits, min_chars, id_col, text_col)
+    done = dedup_lines(docs, bands, id_col, text_col)
     return done.select(*[
         (F.col("lines_kept") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns
     ])
