@@ -14,7 +14,8 @@ in the bits of one number.
 
 A line is dropped when an equal line, or a near one, stands earlier in the
 corpus (by document id, null ids last, then text hash and line number).  Lines
-shorter than the first band take no part and stay.
+shorter than the first band are compared for equality only; lines without a word
+take no part and stay.
 
 Defined cases: a null text stays null and has no lines; an empty text has one
 empty line, which stays; a document all of whose lines go keeps an empty text;
@@ -32,8 +33,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..staging import stage, unstage
 
 #: (length, edits): lines are near within so many edits if the shorter one has at least that length.
-BANDS = ((20, 2), (60, 3), (80, 4), (120, 6))
-#: Shorter lines take no part and stay.
+BANDS = ((6, 2), (60, 3), (80, 4), (120, 6))
+#: Shorter lines are compared for equality only; segments need more than twice the edits.
 MIN_CHARS = BANDS[0][0]
 #: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
 LETTERS = "etnaisroh"
@@ -184,7 +185,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         docs[id_col].alias("doc_id"), F.xxhash64(text).alias("text_key"),
         F.posexplode(F.split(text, "\n")).alias("pos", "line"),
     )
-    return cut.where(F.char_length("line") >= MIN_CHARS).select(
+    return cut.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc_id", "text_key", "pos", "line",
         *_line_hashes("line", "line"),
     )

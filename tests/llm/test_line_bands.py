@@ -52,3 +52,8 @@ def test_a_word_swapped_in_a_long_line(spark):
     assert len(line) > 160
     got = kept(spark, [line, line.replace("number919 ", "value919 ")])
     assert got[1] == ("", 1)
+
+
+def test_short_equal_lines_go(spark):
+    got = kept(spark, ["Ja\n\n \nMenu open", "Ja\nNo\n \nMenu open", "Ja"])
+    assert {i: text for i, (text, _) in got.items()} == {0: "Ja\n\n \nMenu open", 1: "No\n ", 2: ""}
