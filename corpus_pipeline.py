@@ -16,7 +16,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
-    return repetition_rules.keep_by_repetition(docs)
+    return repetition_rules.keep_by_repetition(docs, repetition_rules.FALLING)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,9 @@ class RepetitionLimits:
     max_repeat_words_pct: int = 20
 
 
+#: Limits that fall with n, so that a longer n-gram can reject what the base rule and the 5-grams keep.
+FALLING = RepetitionLimits(ngrams={5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}, lines=0.20)
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
