@@ -6,8 +6,8 @@ Spark adds the counts up in shards by gram.  From these come, by grouping and
 joining on contexts and suffixes, the three discounts of each order, the
 continuation counts of the lower orders, and the probability of every gram that
 any text holds.  A second pass takes each text's mean.  A document is kept if
-its perplexity is at most `margin` times a quantile of those of the trusted
-documents of its language.
+its perplexity is at most a quantile of those of the trusted documents of its
+language.
 
 A gram is four 16-bit codes in one number (characters beyond the basic plane
 count as one; a text is led by zeros), so it is exact and its context and
@@ -37,7 +37,6 @@ from . import textarrays as ta
 ORDER = 4
 CODE_BITS = 16
 QUANTILE = 0.99
-MARGIN = 1.5
 BROADCAST_GRAMS = 4_000_000
 HELD_GRAMS = 1 << 20
 #: Ids of trusted documents up to this number are sent to the tasks; beyond it texts are joined to them by shuffle.
@@ -203,7 +202,7 @@ def _scores_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def judge_by_perplexity(
-    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
+    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
     broadcast_grams: int = BROADCAST_GRAMS,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality",
 ) -> DataFrame:
@@ -234,7 +233,7 @@ def judge_by_perplexity(
     per_lang = exact_quantile(good.select(*lang, "perplexity"), "perplexity", quantile, ["name", "none"], "own")
     overall = exact_quantile(good, "perplexity", quantile, out="overall")
     limits = scored.select(*lang).distinct().join(per_lang, ["name", "none"], "left")
-    limits = limits.withColumn("threshold", F.lit(margin) * F.coalesce("own", overall.select(F.max("overall")).scalar()))
+    limits = limits.withColumn("threshold", F.coalesce("own", overall.select(F.max("overall")).scalar()))
     return scored.withColumns({"name": lang[0], "none": lang[1]}).join(limits.drop("own"), ["name", "none"]).select(
         "doc_id", "lang", F.col("n").alias("n_scored"), "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"),
