@@ -134,6 +134,51 @@ def importance_bars(spark, sf_dir):
     return _numbered(price_model.importance_bars(_importance(spark, sf_dir)))
 
 
+_FORESTS: dict = {}
+
+
+def _forest(spark, sf_dir):
+    """The full forest on the real price, grown on every training row, and its table; one fit per application and folder."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _FORESTS:
+        table = stage(price_model.model_table(products(spark, sf_dir)), "price_table")
+        _FORESTS[key] = price_model.fit_price_model(table.where("part = 'train'")), table
+    return _FORESTS[key]
+
+
+def _forest_predictions(spark, sf_dir):
+    model, table = _forest(spark, sf_dir)
+    return price_model.predict(model, table.where("part <> 'train'"))
+
+
+# Trees are beyond SQL: tests compare these five with what must hold of them.
+@query("forest_holdout_predictions")
+def forest_holdout_predictions(spark, sf_dir):
+    """The holdout's rows with the forest's prices."""
+    return _forest_predictions(spark, sf_dir).where("part = 'holdout'").select("id", "actual_price", "predicted_price")
+
+
+@query("forest_actual_vs_predicted")
+def forest_actual_vs_predicted(spark, sf_dir):
+    return price_model.actual_vs_predicted(_forest_predictions(spark, sf_dir).where("part = 'holdout'"))
+
+
+@query("forest_metrics")
+def forest_metrics(spark, sf_dir):
+    """MAE, RMSE and R2 of the forest on the real price, per part."""
+    return price_model.evaluate(_forest_predictions(spark, sf_dir))
+
+
+@query("forest_feature_importance")
+def forest_feature_importance(spark, sf_dir):
+    return _numbered(price_model.feature_importance(*_forest(spark, sf_dir)))
+
+
+@query("forest_importance_bars")
+def forest_importance_bars(spark, sf_dir):
+    return _numbered(price_model.importance_bars(price_model.feature_importance(*_forest(spark, sf_dir))))
+
+
 #: Labelled rows the registered forest is grown on; encodings and scoring use all rows.
 FIT_ROWS = 1000
 
