@@ -134,3 +134,43 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN b.node IS NOT NULL
        action IS NULL AND b.node IS NOT NULL AS by_alias
 FROM urls LEFT JOIN own USING (host, path) LEFT JOIN blocked b ON b.node = {node.format("url")}
 """
+
+
+def clusters(k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64, seed: str = "1") -> str:
+    """Assignment and update, unrolled round by round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS (
+    SELECT r, min(struct_pack(distance := CAST(list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT),
+                              cluster := c.cluster)) AS best
+    FROM v CROSS JOIN c{i} c GROUP BY r
+)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} AS (
+    SELECT cluster, pos, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n
+    FROM (SELECT best.cluster AS cluster, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM v JOIN near{i} USING (r))
+    GROUP BY cluster, pos
+),
+moved{i} AS (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS e FROM sums{i} GROUP BY cluster
+),
+c{i + 1} AS (SELECT cluster, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN moved{i} m USING (cluster))""")
+    return f"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, e FROM (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    )
+),
+c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, e) - 1 AS INTEGER) AS cluster, e
+    FROM v QUALIFY cluster < {k}
+),{",".join(steps)},
+found AS (SELECT vec_id, best.cluster AS cluster, best.distance AS distance FROM v JOIN near{rounds} USING (r))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(list_aggregate(c.e, 'string_agg', ',')) AS centroid_sha256
+FROM found JOIN c{rounds} c USING (cluster)
+"""

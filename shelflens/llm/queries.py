@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    binary_packing, chat_snapshots, checks, kneser_ney, line_edit_dedup, pivotal_mix, repetition_rules, simhash_pivots,
-    topk_pivots, toxicity_mil, url_equivalence,
+    binary_packing, bpe_codec, centroid_clusters, chat_snapshots, checks, kneser_ney, line_edit_dedup, pivotal_mix,
+    repetition_rules, simhash_pivots, topk_pivots, toxicity_mil, url_equivalence, whitening,
 )
 
 # ---- fixed values: the url rules (host, path, action) and the tokenizer ----
@@ -20,6 +20,7 @@ URL_RULES = (
     ("org", "/fr/", "allow"),
 )
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -111,6 +112,29 @@ def op10_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_packing.piece_digests(pieces)
 
 
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distances and centroid of every vector of 64 components."""
+    found = centroid_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed="1")
+    return centroid_clusters.clustering_report(found).withColumn("vec_id", F.col("vec_id").cast("long"))
+
+
+@query
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes they decode to."""
+    ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = bpe_codec.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    return bpe_codec.codec_digests(encoded, ranks, pattern)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first four whitening components."""
+    vectors = table(spark, sf_dir, "embeddings")
+    models = whitening.fit(vectors, components=4)
+    return whitening.whiten(vectors, models).withColumn("vec_id", F.col("vec_id").cast("long")).drop("dim")
+
+
 # The other operators (perplexities, edit distances over all lines, learned weights, rounding, fingerprints, tokens)
 # are beyond SQL or too slow in it: tests compare them with brute force.
 CHECKS.update({
@@ -118,4 +142,5 @@ CHECKS.update({
     "op2_repetition_rules": checks.repetition(),
     "op5_chat_snapshots": checks.CHATS,
     "op7_url_equivalence": checks.urls(URL_RULES),
+    "op11_centroid_clusters": checks.clusters(),
 })
