@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 from ..functions.names import name_features
 from ..operators import imputation
+from ..operators.encoding import as_vectors, category_numbers, dense, look_up, one_hot
 from ..operators.metrics import regression_metrics
 from ..operators.split import split_part
 from ..schema import MODEL_FEATURES
-from ..staging import stage
+from ..staging import stage, unstage
 
 TARGET = "price"
 
@@ -26,23 +28,36 @@ FOLDS = 5  # parts of the training rows whose category means leave each other ou
 PRIOR_ROWS = 5.0  # rows of the overall mean that every category mean is mixed with
 
 
+ENCODINGS = ("target_mean", "one_hot")
+
+
 @dataclass(frozen=True)
-class PriceModel:
-    """A fitted pipeline and how its feature vector is laid out.
+class Layout:
+    """How a row becomes a feature vector: numbers first, then the columns of categories.
 
-    `means` holds the category means of the `target_mean` encoding: `feature`,
-    `value`, `total`, `n`, and `folds` (total and n of each training fold).
+    `fills` holds a fill value and `slots` the number of slots per feature.
+    `entries` says what a category stands for: `feature`, `value` and, one-hot,
+    its `number` among the column's slots; otherwise `total` and `n` of its log
+    prices and `folds`, the same for each training fold.
     """
 
-    pipeline: PipelineModel
+    encoding: str
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
     fills: dict
     slots: dict[str, int]
-    means: DataFrame | None = None
+    entries: DataFrame | None = None
     overall: float = 0.0
 
 
+@dataclass(frozen=True)
+class PriceModel:
+    """A fitted forest and the layout of its feature vectors."""
+
+    pipeline: PipelineModel
+    layout: Layout
+
+
 def add_name_features(products: DataFrame) -> DataFrame:
     """Sizes and keywords read from the name, where there is one."""
     return products.withColumns(name_features(F.col("name"))) if "name" in products.columns else products
@@ -82,14 +97,6 @@ def _filled(table: DataFrame, numeric, categorical, fills: dict) -> DataFrame:
     return table.withColumns({**as_double, **as_text}).fillna(fills)
 
 
-def _labels(counts: DataFrame) -> dict[str, list[str]]:
-    """All categories per column, most frequent first."""
-    labels: dict[str, list[str]] = {}
-    for row in counts.orderBy("feature", F.col("n").desc(), "value").collect():
-        labels.setdefault(row.feature, []).append(row.value)
-    return labels
-
-
 def _fold(key: str):
     return F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")
 
@@ -106,23 +113,64 @@ def category_means(filled: DataFrame, categorical: list[str], key: str) -> DataF
     )
 
 
-def _with_means(table: DataFrame, categorical, means: DataFrame, overall: float, fold=None) -> DataFrame:
-    """Add `<column>_mean` per categorical column; with `fold`, from the rows of the other folds.
-
-    Unseen values get the overall mean.
-    """
-    for c in categorical:
-        own = means.where(F.col("feature") == c).select(
-            F.col("value").alias("_value"), F.col("total").alias("_total"), F.col("n").alias("_n"), F.col("folds").alias("_folds")
-        )
-        joined = table.join(own, F.col(c) == F.col("_value"), "left")
-        total, n = F.coalesce("_total", F.lit(0.0)), F.coalesce("_n", F.lit(0))
+def _vectors(layout: Layout, table: DataFrame, fold: str | None = None) -> DataFrame:
+    """The filled table with its `features`; with `fold`, a category's mean comes from the rows of other folds."""
+    numbers = [F.col(c) for c in layout.numeric]
+    if not layout.categorical:
+        return table.withColumn("features", dense(numbers))
+    if layout.encoding == "one_hot":
+        answer = F.col("number")
+    else:
+        total, n = F.col("total"), F.col("n")
         if fold is not None:
-            held = F.try_element_at("_folds", fold)
+            held = F.try_element_at("folds", F.col(fold))
             total, n = total - F.coalesce(held["total"], F.lit(0.0)), n - F.coalesce(held["n"], F.lit(0))
-        mean = (total + PRIOR_ROWS * overall) / (n + PRIOR_ROWS)
-        table = joined.withColumn(f"{c}_mean", mean).drop("_value", "_total", "_n", "_folds")
-    return table
+        answer = (total + PRIOR_ROWS * layout.overall) / (n + PRIOR_ROWS)
+    carry = [] if fold is None else [fold]
+    found = look_up(table, "_row", layout.categorical, layout.entries, answer, carry)
+    joined = table.join(found, "_row", "left")
+    if layout.encoding == "one_hot":
+        widths = {c: layout.slots[c] for c in layout.categorical}
+        return joined.withColumn("features", one_hot(numbers, widths, F.col("found"))).drop("found")
+    means = [F.coalesce(F.try_element_at("found", F.lit(c)), F.lit(layout.overall)) for c in layout.categorical]
+    return joined.withColumn("features", dense([*numbers, *means])).drop("found")
+
+
+def fit_layout(train: DataFrame, key: str = "id", kind: str = "target_mean") -> Layout:
+    """Fill values and encoding learned from the training rows."""
+    if kind not in ENCODINGS:
+        raise ValueError(f"unknown encoding {kind!r}")
+    numeric, categorical = feature_kinds(train, key)
+    counts = stage(imputation.category_counts(train, categorical), "category_counts") if categorical else None
+    fills: dict = {r.feature: r.median for r in imputation.medians(train, numeric).collect()} if numeric else {}
+    numeric = [c for c in numeric if fills.get(c) is not None]
+    fills = {c: fills[c] for c in numeric}
+    modes = {r.feature: r["mode"] for r in imputation.modes(counts).collect()} if categorical else {}
+    categorical = [c for c in categorical if c in modes]
+    if not numeric and not categorical:
+        raise ValueError("no feature is known anywhere")
+    fills.update(modes)
+    widths, entries, overall = dict.fromkeys(categorical, 1), None, 0.0
+    if categorical and kind == "one_hot":
+        # One number per column comes to the driver, no category.
+        widths = {r.feature: r["count"] for r in counts.groupBy("feature").count().collect()}
+        entries = stage(category_numbers(counts), "category_numbers")
+    elif categorical:
+        filled = _filled(train, numeric, categorical, fills)
+        entries = stage(category_means(filled, categorical, key), "category_means")
+        overall = train.agg(F.avg("log_price")).first()[0] or 0.0
+    slots = {**dict.fromkeys(numeric, 1), **{c: widths[c] for c in categorical}}
+    return Layout(kind, tuple(numeric), tuple(categorical), fills, slots, entries, overall)
+
+
+def _numbered(layout: Layout, table: DataFrame) -> DataFrame:
+    return _filled(table.withColumn("_row", F.monotonically_increasing_id()), layout.numeric, layout.categorical, layout.fills)
+
+
+def feature_slots(layout: Layout, table: DataFrame) -> DataFrame:
+    """The rows with `features`: the stored form of their vector (`size`, `indices`, `values`)."""
+    numbered = stage(_numbered(layout, table), "numbered")  # the numbers must not change between the reads
+    return _vectors(layout, numbered).drop("_row")
 
 
 def fit_price_model(
@@ -133,6 +181,8 @@ def fit_price_model(
     encoding: str = "target_mean",
     fit_rows: int | None = None,
     seed: int = SEED,
+    bagging: bool = True,
+    bins: int = 32,
 ) -> PriceModel:
     """Impute, encode and fit a forest on the log of the price.
 
@@ -140,55 +190,33 @@ def fit_price_model(
 
     * `target_mean`: a category becomes the mean log price of its rows, mixed
       with the overall mean and, for training rows, taken from other folds than
-      their own.  Grouped and joined on the cluster whatever the number of categories.
-    * `one_hot`: every category gets a slot; the labels are held by the driver,
-      as the library's indexer does.  Unseen values become the all-zero vector.
+      their own.
+    * `one_hot`: every category gets a slot; unseen values set none.
+
+    Both are grouped and joined on the cluster whatever the number of
+    categories.  Without `bagging` every tree sees every row once, so all trees
+    are the same.  A numeric column with up to `bins` values is cut between any
+    two of them, others between `bins` quantiles.
 
     `fit_rows` bounds the labelled rows the forest is grown on (those with the
     smallest hash of the key); fill values and category means use all rows.
     """
-    if encoding not in ("target_mean", "one_hot"):
-        raise ValueError(f"unknown encoding {encoding!r}")
-    numeric, categorical = feature_kinds(train, key)
-    counts = stage(imputation.category_counts(train, categorical), "category_counts")
-    fills: dict = {r.feature: r.median for r in imputation.medians(train, numeric).collect()}
-    numeric = [c for c in numeric if fills.get(c) is not None]
-    fills = {c: fills[c] for c in numeric}
-    modes = {r.feature: r["mode"] for r in imputation.modes(counts).collect()}
-    fills.update(modes)
-    categorical = [c for c in categorical if c in modes]
-    table = _filled(train, numeric, categorical, fills)
-
-    stages, means, overall = [], None, 0.0
-    if encoding == "one_hot" and categorical:
-        labels = _labels(counts)
-        indexed, encoded = [f"{c}_index" for c in categorical], [f"{c}_slots" for c in categorical]
-        # One model per column: label lists of unlike length would be padded with nulls.
-        stages += [
-            StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=i, handleInvalid="keep")
-            for c, i in zip(categorical, indexed)
-        ]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
-        widths = {c: len(labels[c]) for c in categorical}
-    else:
-        encoded, widths = [f"{c}_mean" for c in categorical], dict.fromkeys(categorical, 1)
-        if categorical:
-            means = stage(category_means(table, categorical, key), "category_means")
-            overall = table.agg(F.avg("log_price")).first()[0] or 0.0
+    layout = fit_layout(train, key, encoding)
+    table = train
     if fit_rows is not None:
         table = table.orderBy(F.xxhash64(key), key).limit(fit_rows)
-    if means is not None:
-        table = stage(_with_means(table, categorical, means, overall, _fold(key)), "encoded")
-    stages += [
-        VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features"),
-        RandomForestRegressor(
-            labelCol="log_price", predictionCol="predicted_log", numTrees=trees, maxDepth=depth,
-            minInstancesPerNode=1, featureSubsetStrategy="all", seed=seed, cacheNodeIds=True, maxMemoryInMB=1024,
-        ),
-    ]
-    pipeline = Pipeline(stages=stages).fit(table)
-    slots = {**dict.fromkeys(numeric, 1), **widths}
-    return PriceModel(pipeline, tuple(numeric), tuple(categorical), fills, slots, means, overall)
+    numbered = stage(_numbered(layout, table).withColumn("_fold", _fold(key)), "numbered")
+    rows = _vectors(layout, numbered, "_fold").select("log_price", "features")
+    forest = RandomForestRegressor(
+        labelCol="log_price", predictionCol="predicted_log", numTrees=trees, maxDepth=depth, maxBins=bins,
+        minInstancesPerNode=1, featureSubsetStrategy="all", bootstrap=bagging, seed=seed, cacheNodeIds=True,
+        maxMemoryInMB=1024,
+    )
+    encoded = stage(as_vectors(rows, "features"), "encoded")
+    model = PriceModel(Pipeline(stages=[forest]).fit(encoded), layout)
+    unstage(numbered)
+    unstage(encoded)
+    return model
 
 
 def predict(model: PriceModel, table: DataFrame) -> DataFrame:
@@ -196,12 +224,11 @@ def predict(model: PriceModel, table: DataFrame) -> DataFrame:
 
     Filled and encoded copies of the inputs stay inside.
     """
-    inputs = [*model.numeric, *model.categorical]
+    layout = model.layout
+    inputs = [*layout.numeric, *layout.categorical]
     kept = table.withColumns({f"_{c}": F.col(c) for c in inputs})
-    filled = _filled(kept, model.numeric, model.categorical, model.fills)
-    if model.means is not None:
-        filled = _with_means(filled, model.categorical, model.means, model.overall)
-    scored = model.pipeline.transform(filled)
+    numbered = stage(_numbered(layout, kept), "to_predict")
+    scored = model.pipeline.transform(as_vectors(_vectors(layout, numbered), "features"))
     others = [c for c in table.columns if c not in inputs and c not in (TARGET, "log_price")]
     return scored.select(
         *others,
@@ -222,10 +249,10 @@ def evaluate(predictions: DataFrame) -> DataFrame:
 def feature_importance(model: PriceModel, like: DataFrame) -> DataFrame:
     """Importance per original feature, the slots of a category added up."""
     weights = model.pipeline.stages[-1].featureImportances
-    names = [c for c, width in model.slots.items() for _ in range(width)]
+    features, ends = list(model.layout.slots), list(accumulate(model.layout.slots.values()))
     known = zip(weights.indices, weights.values) if hasattr(weights, "indices") else enumerate(weights.toArray())
     # One row per slot that carries any weight, and one per feature so that none is missing.
-    slots = [(names[i], float(w)) for i, w in known] + [(c, 0.0) for c in model.slots]
+    slots = [(features[bisect_right(ends, int(i))], float(w)) for i, w in known] + [(c, 0.0) for c in features]
     return importance_by_feature(like.sparkSession.createDataFrame(slots, "original_feature string, importance double"))
 
 

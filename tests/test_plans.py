@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from shelflens.operators.encoding import as_vectors
 from shelflens.plans import business, charts, clean, enrich, ingest, price_model, screening
 from shelflens.schema import DETAIL, RAW_TYPES, REVIEW
 from shelflens.sources import csv_files, payload_files, sinks
@@ -372,9 +373,8 @@ def test_encodings_use_every_category(goods, encoding):
     train = table.where("part = 'train'")
     model = price_model.fit_price_model(train, trees=4, depth=6, encoding=encoding, fit_rows=150)
     names = train.select("name").dropna().distinct().count()
-    assert model.slots["name"] == (names if encoding == "one_hot" else 1)
-    if encoding == "target_mean":
-        assert model.means.where("feature = 'name'").count() == names
+    assert model.layout.slots["name"] == (names if encoding == "one_hot" else 1)
+    assert model.layout.entries.where("feature = 'name'").count() == names
     scores = price_model.evaluate(price_model.predict(model, table.where("part <> 'train'"))).collect()
     assert all(r.r2 > 0.5 for r in scores)
     assert sum(r.importance for r in price_model.feature_importance(model, table).collect()) == pytest.approx(1.0)
@@ -389,9 +389,57 @@ def test_category_means_leave_the_own_fold_out(spark):
     rows = [(i, "a" if i % 2 else "b", float(i)) for i in range(40)]
     table = spark.createDataFrame(rows, "id long, c string, log_price double")
     means = price_model.category_means(table, ["c"], "id").cache()
-    fold = price_model._fold("id")
-    out = price_model._with_means(table.withColumn("f", fold), ["c"], means, 10.0, fold).collect()
+    layout = price_model.Layout("target_mean", (), ("c",), {}, {"c": 1}, means, 10.0)
+    numbered = table.withColumns({"_row": F.col("id"), "f": price_model._fold("id")}).cache()
+    out = price_model._vectors(layout, numbered, "f").collect()
+    assert len(out) == 40
     for r in out:
         others = [x.log_price for x in out if x.c == r.c and x.f != r.f]
-        assert r.c_mean == pytest.approx((sum(others) + 50.0) / (len(others) + 5.0))
-
+        assert r.features["values"][0] == pytest.approx((sum(others) + 50.0) / (len(others) + 5.0))
+    new = spark.createDataFrame([(1, "a"), (2, "never seen")], "_row long, c string")
+    seen = {r.c: r.features["values"][0] for r in price_model._vectors(layout, new).collect()}
+    assert seen["a"] == pytest.approx((sum(i for i in range(40) if i % 2) + 50.0) / 25.0) and seen["never seen"] == 10.0
+
+
+def test_one_hot_slots(spark):
+    rows = [(1, 2.5, "b", True), (2, 0.0, "a", None), (3, None, "b", False), (4, 1.5, None, True), (5, 9.0, "c", True)]
+    table = spark.createDataFrame(rows, "id long, x double, c string, flag boolean").withColumn("log_price", F.lit(1.0))
+    layout = price_model.fit_layout(table.withColumn("price", F.lit(1)), kind="one_hot")
+    numbers = {(r.feature, r.value): r.number for r in layout.entries.collect()}
+    assert numbers == {("c", "b"): 0, ("c", "a"): 1, ("c", "c"): 2, ("flag", "true"): 0, ("flag", "false"): 1}
+    assert layout.slots == {"x": 1, "c": 3, "flag": 2} and layout.fills == {"x": 2.0, "c": "b", "flag": "true"}
+    more = table.unionByName(table.limit(1).withColumns({"id": F.lit(6).cast("long"), "c": F.lit("new")}))
+    found = price_model.feature_slots(layout, more)
+    got = {r.id: (r.features["size"], r.features["indices"], r.features["values"]) for r in found.collect()}
+    assert got[1] == (6, [0, 1, 4], [2.5, 1.0, 1.0]) and got[2] == (6, [0, 2, 4], [0.0, 1.0, 1.0])
+    assert got[3] == (6, [0, 1, 5], [2.0, 1.0, 1.0]) and got[4] == (6, [0, 1, 4], [1.5, 1.0, 1.0])
+    assert got[6] == (6, [0, 4], [2.5, 1.0])
+    vectors = as_vectors(found.select("id", "features"), "features").collect()
+    assert {r.id: list(r.features.indices) for r in vectors} == {i: g[1] for i, g in got.items()}
+
+
+def test_nothing_to_learn_from(spark):
+    table = spark.createDataFrame([(1, None, 1, 1.0)], "id long, x double, price int, log_price double")
+    with pytest.raises(ValueError, match="no feature"):
+        price_model.fit_price_model(table)
+
+
+def test_numbers_alone(goods):
+    table = price_model.model_table(goods, features=("reviews_count",)).cache()
+    model = price_model.fit_price_model(table.where("part = 'train'"), trees=2, depth=3)
+    assert model.layout.slots == {"reviews_count": 1} and model.layout.entries is None
+    assert price_model.predict(model, table).count() == table.count()
+
+
+def test_forest_without_bagging_is_one_greedy_tree(spark):
+    """Leaves are the means of their cells, and one cut explains all there is."""
+    rows = [(i, ["a", "b", "c"][i % 3], float(i % 2), 1000 * (1 + i % 3)) for i in range(120)]
+    frame = spark.createDataFrame(rows, "id long, brand_name string, reviews_count double, price long")
+    table = price_model.model_table(frame, features=("brand_name", "reviews_count")).cache()
+    model = price_model.fit_price_model(
+        table.where("part = 'train'"), trees=4, depth=5, encoding="one_hot", bagging=False
+    )
+    scored = price_model.predict(model, table).collect()
+    assert all(r.predicted_price == pytest.approx(r.actual_price) for r in scored)
+    weights = {r.original_feature: r.importance for r in price_model.feature_importance(model, table).collect()}
+    assert weights == {"brand_name": pytest.approx(1.0), "reviews_count": pytest.approx(0.0, abs=1e-9)}
