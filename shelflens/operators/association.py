@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..staging import stage
-from .ordered import average_ranks
+from .encoding import look_up
+from .ordered import average_ranks, value_counts
 
 
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -81,6 +82,61 @@ def _named_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(named))
 
 
+def rank_contexts(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], tuple[str, str | None]]:
+    """For each ordered pair of columns (a, b): a's values, and the column whose gaps cut them.
+
+    A pair is ranked over the rows where both are known.  Where b is known
+    wherever a is, that is a's own ranking (None); columns with the same gaps
+    cut alike and share one ranking, named by the first of them.
+    """
+    pairs = [(a, b) for a in columns for b in columns if a != b]
+    if not pairs:
+        return {(a, a): (a, None) for a in columns}
+    cut = df.selectExpr(*[f"count_if({_name(a)} IS NOT NULL AND {_name(b)} IS NULL)" for a, b in pairs]).first()
+    cuts = {pair: cut[i] > 0 for i, pair in enumerate(pairs)} | {(a, a): False for a in columns}
+    alike = {b: next(c for c in columns if not cuts[b, c] and not cuts[c, b]) for b in columns}
+    return {(a, b): (a, alike[b] if cuts[a, b] else None) for a in columns for b in columns}
+
+
+def rank_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Spearman correlation of all pairs of columns: `a`, `b` (not before `a`), `rho`.
+
+    Each column is ranked once, and once more for every set of other gaps that
+    cuts it: a row is unfolded into its rankings, not into its pairs.  Ranks
+    come from value counts and go back to the rows in one join; then a single
+    aggregation, summed in the tasks, adds up the products of all pairs.
+    """
+    contexts = rank_contexts(df, columns)
+    rankings = {context: f"r{i}" for i, context in enumerate(dict.fromkeys(contexts.values()))}
+    values = []
+    for (column, cut_by), name in rankings.items():
+        value = F.col(column).cast("double") + F.lit(0.0)  # no negative zero
+        values.append((value if cut_by is None else F.when(F.col(cut_by).isNotNull(), value)).alias(name))
+    table = stage(df.select(F.monotonically_increasing_id().alias("_row"), *values), "rankings")
+    names = list(rankings.values())
+    long = table.unpivot(["_row"], names, "feature", "value").where(F.col("value").isNotNull())
+    ranks = average_ranks(value_counts(long, ["feature", "value"]), "value", "n", ["feature"])
+    # Ranks always average (total + 1) / 2.
+    off = ranks.select("feature", "value", (F.col("rank") - (F.col("total") + 1) / 2.0).alias("off"))
+    found = look_up(table, "_row", names, off, F.col("off"), kind="double")
+    # Hundreds of small expressions: as text they reach the JVM in one call each.
+    wide = found.selectExpr(*[f"try_element_at(found, '{n}') AS {n}" for n in names])
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    sides = {(a, b): (rankings[contexts[a, b]], rankings[contexts[b, a]]) for a, b in pairs}
+    products = list(dict.fromkeys([*sides.values(), *[(n, n) for n in names]]))
+    sums = wide.selectExpr(*[f"sum({x} * {y}) AS {x}_{y}" for x, y in products])
+    rhos = [
+        f"CASE WHEN {x}_{x} > 0 AND {y}_{y} > 0 THEN {x}_{y} / (sqrt({x}_{x}) * sqrt({y}_{y})) END" for x, y in sides.values()
+    ]
+    cells = sums.selectExpr(f"posexplode(array({', '.join(rhos)})) AS (pair, rho)")
+    first, second = (F.element_at(F.lit([pair[i] for pair in pairs]), F.col("pair") + 1) for i in (0, 1))
+    return cells.select(first.alias("a"), second.alias("b"), "rho")
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def correlation_ratio(df: DataFrame, features: Sequence[str], measure: str) -> DataFrame:
     """Correlation ratio (eta) of each categorical column with a measure.
 

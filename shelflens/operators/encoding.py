@@ -20,16 +20,17 @@ def category_numbers(counts: DataFrame) -> DataFrame:
 
 
 def look_up(
-    table: DataFrame, row: str, columns: Sequence[str], entries: DataFrame, found: Column, carry: Sequence[str] = ()
+    table: DataFrame, row: str, columns: Sequence[str], entries: DataFrame, found: Column, carry: Sequence[str] = (),
+    kind: str = "string",
 ) -> DataFrame:
     """`row`, `found`: per row a map from column to what its value stands for; values without an entry are left out.
 
-    `entries` holds `feature`, `value` and what `found` is made of; `found` may also use the columns in `carry`.
+    `entries` holds `feature`, `value` (of type `kind`) and what `found` is made of; `found` may also use the columns in `carry`.
     The columns are unfolded once and joined once, and a row's answers are put together by task before they are
     shuffled if the entries are small enough for Spark to broadcast.
     """
-    texts = table.select(row, *carry, *[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([row, *carry], list(columns), "feature", "value").where(F.col("value").isNotNull())
+    alike = table.select(row, *carry, *[F.col(c).cast(kind).alias(c) for c in columns])
+    long = alike.unpivot([row, *carry], list(columns), "feature", "value").where(F.col("value").isNotNull())
     answers = long.join(entries, ["feature", "value"]).select(row, F.struct("feature", found.alias("found")).alias("_entry"))
     return answers.groupBy(row).agg(F.map_from_entries(F.collect_list("_entry")).alias("found"))
 

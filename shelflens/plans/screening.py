@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
-from ..operators.association import correlation_ratio, spearman
+from ..operators.association import correlation_ratio, rank_correlations, spearman
 from ..schema import SCREENING_EXCLUDED
 
 TARGET = "price"
@@ -90,7 +88,7 @@ def rank_matrix(df: DataFrame, target: str = TARGET) -> DataFrame:
     table = screening_table(df, target)
     numeric, _ = split_columns(table, target)
     columns = [*numeric, target]
-    cells = spearman(table, [*combinations(columns, 2), *[(c, c) for c in columns]]).select(
+    cells = rank_correlations(table, columns).select(
         F.col("a").alias("feature_a"), F.col("b").alias("feature_b"), "rho"
     )
     both = F.array(F.struct("feature_a", "feature_b"), F.struct(

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelflens.operators import imputation
+from shelflens.operators import association, imputation
 from shelflens.operators.association import correlation_ratio, spearman
 from shelflens.operators.dedup import best_row_per_id
 from shelflens.operators.metrics import regression_metrics
@@ -174,3 +174,33 @@ def test_medians_and_modes(spark):
     assert {r.feature: r.median for r in imputation.medians(df, ["n", "void"]).collect()}["n"] == 2.5
     counts = imputation.category_counts(df, ["c"])
     assert {r.feature: r["mode"] for r in imputation.modes(counts).collect()} == {"c": "a"}
+
+
+def test_rank_correlations(spark):
+    """All pairs at once against each pair alone, with gaps, ties, a constant and signed zeros."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        gap, other = i % 7 == 0, i % 5 == 0
+        rows.append((
+            rng.randint(0, 5), None if gap else rng.random(), None if gap else rng.randint(0, 3),
+            None if other else float(i % 11), 3, rng.choice([0.0, -0.0, 1.5]), None,
+        ))
+    names = ["a", "b", "c", "d", "constant", "zero", "none"]
+    df = spark.createDataFrame(rows, "a int, b double, c long, d double, constant int, zero double, none double").repartition(3)
+    got = {(r.a, r.b): r.rho for r in association.rank_correlations(df, names).collect()}
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[i:]]
+    want = {(r.a, r.b): r.rho for r in association.spearman(df, pairs).collect()}
+    assert got.keys() == want.keys()
+    for pair, rho in want.items():
+        assert got[pair] == (None if rho is None else pytest.approx(rho)), pair
+
+
+def test_rankings_are_shared(spark):
+    """Without gaps a row is unfolded once per column; columns with the same gaps share their rankings."""
+    whole = spark.createDataFrame([(i, i * i, -i) for i in range(20)], "a int, b int, c int")
+    assert set(association.rank_contexts(whole, ["a", "b", "c"]).values()) == {(c, None) for c in "abc"}
+    gaps = whole.withColumns({"b": F.when(F.col("a") > 3, F.col("b")), "c": F.when(F.col("a") > 3, F.col("c"))})
+    found = association.rank_contexts(gaps, ["a", "b", "c"])
+    assert set(found.values()) == {("a", None), ("a", "b"), ("b", None), ("c", None)}
+    assert found["a", "c"] == ("a", "b") and found["c", "a"] == ("c", None)
