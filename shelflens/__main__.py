@@ -5,19 +5,25 @@
     python -m shelflens clean MERGED CLEAN_OUT
     python -m shelflens enrich LISTING DETAIL REVIEW OUT
     python -m shelflens load TABLE CLEAN [--url JDBC_URL]
+    python -m shelflens load-folder FOLDER [--url JDBC_URL]
     python -m shelflens ask QUESTION CLEAN OUT [--dialect sql|frame]
     python -m shelflens screen CLEAN OUT
-    python -m shelflens model CLEAN OUT [--trees N --depth N --max-categories N]
+    python -m shelflens model CLEAN OUT [--trees N --depth N --encoding E --features selected --fit-rows N]
 
-Inputs and outputs are folders; tables are handed over as Parquet, and any
-output is written as CSV with `--csv`.
+Inputs and outputs are folders.  Tables are written as Parquet, or with `--csv`
+as CSV, as which `clean` then reads them; the jobs on a clean table see what it
+is.  Records and payloads that cannot be read are written beside
+the result, to OUT_rejects.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from .plans import business, charts, clean, enrich, ingest, price_model, screening
+from pyspark.sql import functions as F
+
+from .plans import business, charts, clean, enrich, ingest, load, price_model, screening
+from .schema import DETAIL, LISTING_PAGE, NAME_FEATURES, REVIEW
 from .session import build_session
 from .sources import payload_files, sinks
 from .staging import stage
@@ -53,6 +59,7 @@ def parser() -> argparse.ArgumentParser:
     job("clean", "source", "out")
     job("enrich", "listing", "detail", "review", "out")
     job("load", "table", "source").add_argument("--url")
+    job("load-folder", "source").add_argument("--url")
     asked = jobs.add_parser("ask")
     asked.add_argument("question", choices=[*QUESTIONS, *CHARTS])
     asked.add_argument("source")
@@ -63,6 +70,10 @@ def parser() -> argparse.ArgumentParser:
     model.add_argument("--trees", type=int, default=price_model.TREES)
     model.add_argument("--depth", type=int, default=price_model.DEPTH)
     model.add_argument("--encoding", choices=("target_mean", "one_hot"), default="target_mean")
+    model.add_argument(
+        "--features", choices=("fixed", "selected"), default="fixed",
+        help="selected: those that go with the price on the training rows",
+    )
     model.add_argument("--fit-rows", type=int, help="labelled rows the forest is grown on (default: all)")
     return top
 
@@ -72,42 +83,75 @@ def raw_table(spark, source: str, csv: bool):
     return ingest.merge_raw_files(spark, source) if csv else spark.read.parquet(source)
 
 
+def write_counts(merged: ingest.Merged, out: str, form: str) -> None:
+    """What was counted while the rows were written, and the rejects if there are any."""
+    counts = merged.counts()
+    sinks.write_merged(counts, f"{out}_counts", form)
+    if not counts.where("reason IS NOT NULL AND n > 0").isEmpty():
+        sinks.write_merged(merged.rejects, f"{out}_rejects", form)
+
+
+def write_payload_rejects(spark, args, form: str) -> None:
+    kinds = {"listing": LISTING_PAGE, "detail": DETAIL, "review": REVIEW}
+    found = [
+        payload_files.payload_rejects(spark, getattr(args, kind), schema).withColumn("kind", F.lit(kind))
+        for kind, schema in kinds.items()
+    ]
+    rejects = stage(ingest.union_by_name(found), "rejects")
+    if not rejects.isEmpty():
+        sinks.write_merged(rejects, f"{args.out.rstrip('/')}_rejects", form)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"shelflens {args.job}")
     form = "csv" if args.csv else "parquet"
     if args.job == "merge-folders":
-        merged = ingest.merge_category_folders(spark, args.source)
-        sinks.write_by_category(merged, args.out, form)
-        sinks.write_merged(ingest.merge_report(merged), f"{args.out.rstrip('/')}_report", form)
+        out = args.out.rstrip("/")
+        merged = ingest.category_folders(spark, args.source)
+        sinks.write_by_category(merged.rows, out, form)
+        write_counts(merged, out, form)
+        # The source files are not read again: Parquet's own row counts answer this.
+        sinks.write_merged(ingest.merge_report(raw_table(spark, out, args.csv)), f"{out}_report", form)
     elif args.job == "merge-raw":
-        sinks.write_merged(ingest.merge_raw_files(spark, args.source), args.out, form)
+        merged = ingest.raw_files(spark, args.source)
+        sinks.write_merged(merged.rows, args.out, form)
+        write_counts(merged, args.out.rstrip("/"), form)
     elif args.job == "clean":
         sinks.write_merged(clean.clean_products(raw_table(spark, args.source, args.csv)), args.out, form)
     elif args.job == "enrich":
         rows = enrich.enrich(
-            payload_files.read_listing(spark, args.listing), payload_files.read_detail(spark, args.detail),
-            payload_files.read_review(spark, args.review),
+            payload_files.read_listing(spark, args.listing, mode="DROPMALFORMED"),
+            payload_files.read_detail(spark, args.detail, mode="DROPMALFORMED"),
+            payload_files.read_review(spark, args.review, mode="DROPMALFORMED"),
         )
         sinks.write_merged(rows, args.out, form)
+        write_payload_rejects(spark, args, form)
     elif args.job == "load":
+        table = load.read_table(spark, args.source)
         if args.url:
-            sinks.load_database({args.table: spark.read.parquet(args.source)}, args.url)
+            sinks.load_database({args.table: table}, args.url)
         else:
-            sinks.load_tables(spark, {args.table: args.source})
+            sinks.replace_table(table, args.table)
+    elif args.job == "load-folder":
+        load.load_folder(spark, args.source, args.url)
     elif args.job == "ask":
-        products = spark.read.parquet(args.source)
+        products = load.read_table(spark, args.source)
         if args.question in QUESTIONS:
             answer = QUESTIONS[args.question](products, args.dialect)
         else:
             answer = CHARTS[args.question](products)
         sinks.write_merged(answer, args.out, form)
     elif args.job == "screen":
-        products = spark.read.parquet(args.source)
+        products = load.read_table(spark, args.source)
         sinks.write_merged(screening.association_table(products), f"{args.out}/associations", form)
         sinks.write_merged(screening.rank_matrix(products), f"{args.out}/rank_matrix", form)
     else:
-        table = stage(price_model.model_table(spark.read.parquet(args.source)), "model_table")
+        products = load.read_table(spark, args.source)
+        features = {}
+        if args.features == "selected":
+            features["features"] = (*price_model.selected_features(products), *NAME_FEATURES)
+        table = stage(price_model.model_table(products, **features), "model_table")
         model = price_model.fit_price_model(
             table.where("part = 'train'"), trees=args.trees, depth=args.depth, encoding=args.encoding,
             fit_rows=args.fit_rows,

@@ -108,6 +108,11 @@ LISTING_PAGE = T.StructType([
     T.StructField("page", T.StringType()),
     T.StructField("data", T.ArrayType(LISTING_ITEM)),
 ])
+# The same pages, items unread: only how many there are.
+LISTING_LENGTHS = T.StructType([
+    T.StructField("page", T.StringType()),
+    T.StructField("data", T.ArrayType(T.StructType([T.StructField("id", T.StringType())]))),
+])
 
 
 def _texts(*names: str) -> T.StructType:

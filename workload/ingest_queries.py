@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelflens.functions import payload
-from shelflens.plans import enrich, ingest
+from shelflens.plans import enrich, ingest, load
 from shelflens.schema import DETAIL, LISTING_PAGE, RAW_TYPES, REVIEW
 from shelflens.sources import payload_files, sinks
 from shelflens.staging import stage_path
@@ -157,14 +157,17 @@ def flatten_listing(spark, sf_dir):
     return enrich.flatten_listing(_items(spark, sf_dir)).select(*_LISTED)
 
 
-@query("enrich_products", f"""
+_ENRICH = f"""
 WITH listed AS ({_LISTING_SELECT}), detailed AS ({_DETAIL_SELECT}), reviewed AS ({_REVIEW_SELECT})
 SELECT id, sku, name, seller_product_id, listed.seller_id, tracking_info_amplitude, inventory_status, inventory_type,
   data_version, day_ago_created, brand_or_author, current_seller, stock_item, categories, benefits_count,
   rating_average, reviews_count, coalesce(stars, '') AS stars, price, badges_new, quantity_sold, availability, shippable
 FROM listed LEFT JOIN detailed ON id = detailed.product_id AND seller_product_id = detailed.spid
 LEFT JOIN reviewed ON id = reviewed.product_id AND seller_product_id = reviewed.spid
-  AND listed.seller_id = reviewed.seller_id""")
+  AND listed.seller_id = reviewed.seller_id"""
+
+
+@query("enrich_products", _ENRICH)
 def enrich_products(spark, sf_dir):
     joined = enrich.enrich(_items(spark, sf_dir), _details(spark, sf_dir), _reviews(spark, sf_dir))
     return joined.select(*[c for c in joined.columns if c in _LISTED or c in _JOINED])
@@ -186,11 +189,27 @@ SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<title(?:\s[^>]*)?>.*?</tit
 FROM pages""")
 def page_titles(spark, sf_dir):
     pages = payload_files.read_pages(spark, f"{sf_dir}/pages.parquet")
-    return pages.select(
-        "page_id",
-        payload.page_title(F.col("html")).alias("title"),
-        payload.page_preview(F.col("html")).alias("preview"),
+    found = pages.select(
+        "page_id", payload.title_element(F.col("html")).alias("element"), payload.page_preview(F.col("html")).alias("preview")
     )
+    return found.select("page_id", payload.title_text(F.col("element")).alias("title"), "preview")
+
+
+@query("odd_page_titles", r"""
+SELECT page_id, CASE CAST(page_id AS BIGINT) % 5 WHEN 0 THEN 'new ' || page_id WHEN 1 THEN '© 2024 Aé<b> ' || page_id
+  WHEN 2 THEN 'after script' WHEN 3 THEN 'No title' ELSE 'R&D & more; ½' END AS title FROM pages""")
+def odd_page_titles(spark, sf_dir):
+    """Titles in comments and scripts, and entities in every spelling, before the page's own text."""
+    pages = payload_files.read_pages(spark, f"{sf_dir}/pages.parquet")
+    head = F.element_at(F.array(
+        F.concat(F.lit("<!-- <title>old</title> --><title>new "), "page_id", F.lit("</title>")),
+        F.concat(F.lit("<TITLE id='x'> &copy 2024 &#x41;&#233;&lt;b&gt; "), "page_id", F.lit("</TITLE >")),
+        F.lit("<script>document.write('<title>no</title>')</script><title>after script</title>"),
+        F.lit("<style>/* <title>no</title> */</style><!-- never closed <title>no</title>"),
+        F.lit("<title>R&ampD &amp; more; &frac12;</title>"),
+    ), (F.col("page_id").cast("long") % 5 + 1).cast("int"))
+    made = pages.select("page_id", payload.title_element(F.concat(head, "html")).alias("element"))
+    return made.select("page_id", payload.title_text(F.col("element")).alias("title"))
 
 
 # ------------------------------------------------------------------ unions
@@ -262,11 +281,14 @@ def charset_scan(spark, sf_dir):
     """One half of the files in UTF-8, the other in Windows Vietnamese."""
     part, root = views.table(spark, sf_dir, "part"), stage_path(spark, "charsets")
     rows = part.select(F.col("p_partkey").alias("id"), F.concat("p_name", F.lit(' Đông "é", ü')).alias("name"))
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    switch = "spark.sql.legacy.javaCharsets"  # for writing; reading needs none
+    before = spark.conf.get(switch, "false")
+    spark.conf.set(switch, "true")
     for half, charset in enumerate(("UTF-8", "windows-1258")):
         chosen = rows.where(F.col("id") % 2 == half)
         options = {"header": True, "encoding": charset, "quote": '"', "escape": '"'}
         chosen.write.options(**options).csv(f"{root}/half{half}")
+    spark.conf.set(switch, before)
     back = ingest.merge_category_folders(spark, root)
     return back.select(F.col("id").cast("bigint").alias("id"), "name")
 
@@ -288,3 +310,68 @@ def table_replace(spark, sf_dir):
     sinks.replace_table(rows.limit(0), "shelflens_products", path)
     sinks.replace_table(rows, "shelflens_products", path)
     return spark.table("shelflens_products")
+
+
+# ------------------------------------------------------- what cannot be read
+
+_PLAIN = "replace(name, ',', ' ')"
+_LINE = f"id || ',\"' || {_PLAIN} || '\",' || sku"
+
+
+@query("csv_rejects", f"""
+SELECT id, {_PLAIN} AS name, sku, NULL AS reason, NULL AS record FROM products_raw
+WHERE {_FIRST} AND CAST(id AS BIGINT) % 7 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, 'more fields than the header', {_LINE} || ',x' FROM products_raw
+WHERE {_FIRST} AND CAST(id AS BIGINT) % 7 = 0""")
+def csv_rejects(spark, sf_dir):
+    """Rows of a folder some of whose lines have a field too many, and those lines."""
+    root = stage_path(spark, "broken_csv")
+    lines = products_raw(spark, sf_dir).where(_FIRST).select(F.expr(
+        f"{_LINE} || CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN ',x' ELSE '' END"
+    ).alias("id,name,sku"))
+    # One column that no sign divides or quotes: the lines as they are.
+    lines.write.options(header=True, sep="\u0001", quote="\u0002", escape="\u0002").csv(f"{root}/all")
+    merged = ingest.category_folders(spark, root)
+    rows = merged.rows.select("id", "name", "sku", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("record"))
+    return rows.unionByName(merged.rejects.select("reason", "record"), allowMissingColumns=True)
+
+
+_CUT = "substring(detail, 1, length(detail) - 9)"
+
+
+@query("payload_rejects", f"""
+SELECT CAST(product_id AS VARCHAR) AS product_id, NULL AS record FROM payloads WHERE product_id % 6 <> 1
+UNION ALL SELECT NULL, {_CUT} FROM payloads WHERE product_id % 6 = 1""")
+def payload_rejects(spark, sf_dir):
+    """Detail payloads of which some are cut short: those that can be read, and the text of the others."""
+    path = stage_path(spark, "broken_detail")
+    payloads(spark, sf_dir).select(
+        F.expr(f"CASE WHEN product_id % 6 = 1 THEN {_CUT} ELSE detail END").alias("value")
+    ).write.text(path)
+    good = payload_files.read_detail(spark, path, mode="DROPMALFORMED").select("product_id", F.lit(None).cast("string").alias("record"))
+    return good.unionByName(payload_files.payload_rejects(spark, path, DETAIL).select("record"), allowMissingColumns=True)
+
+
+# ------------------------------------------------------ whole tables, back in
+
+
+@query("enriched_roundtrip", _ENRICH)
+def enriched_roundtrip(spark, sf_dir):
+    """The enriched rows, written and read back."""
+    path, rows = stage_path(spark, "enriched"), enrich_products(spark, sf_dir)
+    sinks.write_merged(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query("folder_load", """
+SELECT 'from_parquet' AS source, CAST(id AS VARCHAR) AS id, name, price FROM products WHERE id % 2 = 0
+UNION ALL SELECT 'from_csv', CAST(id AS VARCHAR), name, price FROM products WHERE id % 2 = 1""")
+def folder_load(spark, sf_dir):
+    """Every table of a folder into the catalog: one of Parquet, one of CSV."""
+    folder, rows = stage_path(spark, "tables"), products(spark, sf_dir).select("id", "name", "price")
+    sinks.write_merged(rows.where("id % 2 = 0"), f"{folder}/from parquet")
+    sinks.write_merged(rows.where("id % 2 = 1"), f"{folder}/from-csv", "csv")
+    tables = load.load_folder(spark, folder)
+    found = [spark.table(t).select(F.lit(t).alias("source"), F.col("id").cast("string").alias("id"), "name", "price") for t in tables]
+    return ingest.union_by_name(found)
