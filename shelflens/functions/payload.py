@@ -161,20 +161,33 @@ def sold_quantity(text: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.str.replace(r"&#?\w+;", lambda entity: html.unescape(entity.group()), regex=True)
+    return texts.map(html.unescape, na_action="ignore")
 
 
-def page_title(page: Column) -> Column:
-    """Text of the first `<title>`, entities decoded; `No title` when there is none.
+# What a browser takes no element from: comments, and the text of scripts and styles.
+_NO_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+_TITLE = r"(?is)<title(?:\s[^>]*)?>.*?</title\s*>"
+
+
+def title_element(page: Column) -> Column:
+    """The first `<title>` element outside comments, scripts and styles; empty text when there is none."""
+    bare = F.when(page.contains("<!--") | page.rlike("(?i)<(?:script|style)"), F.regexp_replace(page, _NO_MARKUP, " "))
+    return F.regexp_extract(F.coalesce(bare, page), _TITLE, 0)
+
 
-    Only titles that hold an entity are handed to Python; one without its
-    semicolon stays as it is.
+def title_text(element: Column) -> Column:
+    """Text of a title element, entities decoded as HTML does; `No title` for none.
+
+    Only titles that hold an entity are handed to Python.
     """
-    titled = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-    title = F.regexp_extract(page, titled, 1)
-    escaped = title.contains("&")
-    text = F.coalesce(_unescape(F.when(escaped, title)), title)
-    return F.when(page.rlike(titled), strip(text)).otherwise(F.lit("No title"))
+    text = F.regexp_replace(element, r"(?i)^<title[^>]*>|</title\s*>\z", "")
+    plain = F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
+    return F.when(element.isNull() | (element == ""), F.lit("No title")).otherwise(strip(plain))
+
+
+def page_title(page: Column) -> Column:
+    """Title of a page.  Over a table, take `title_element` in a step of its own: it is then found once."""
+    return title_text(title_element(page))
 
 
 def page_preview(page: Column, length: int = 5000) -> Column:

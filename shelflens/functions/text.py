@@ -37,8 +37,9 @@ def null_if_token(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Number or null."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Finite number or null."""
+    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def to_integer(text: Column, type_name: str = "bigint") -> Column:

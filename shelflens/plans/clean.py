@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import packed, text
-from ..operators.dedup import best_row_per_id
+from ..operators.dedup import best_row_per_id, ranking_columns
 from ..operators.ordered import exact_quantile
 from ..schema import (
-    BADGE_WORDS, RAW_TYPES, STAR_LEVELS, STOCK_KEYS, TRACKING_FLAGS, TRIMMED_COLUMNS, VALID_RANGES,
+    BADGE_WORDS, RAW_TYPES, STAR_LEVELS, STOCK_KEYS, TRACKING_FLAGS, TRIMMED_COLUMNS, VALID_RANGES, text_schema,
 )
-from ..staging import stage
 
 BEST_SELLER_QUANTILE = 0.8
 
@@ -73,16 +72,17 @@ def drop_out_of_range(df: DataFrame) -> DataFrame:
     })
 
 
-def add_sales_targets(df: DataFrame) -> DataFrame:
+def add_sales_targets(df: DataFrame, quantities: DataFrame | None = None) -> DataFrame:
     """`log_quantity_sold`, and `best_seller`: at or above the 0.8 quantile.
 
-    The flag is null where nothing is known about sales.  `df` is read twice
-    (one column, then all), so pass a table rather than a long plan.
+    The flag is null where nothing is known about sales.  The quantile is that
+    of `quantities` (column `quantity_sold`), by default of `df` itself.
     """
     if "quantity_sold" not in df.columns:
         return df
     sold = F.col("quantity_sold")
-    threshold = exact_quantile(df.select("quantity_sold"), "quantity_sold", BEST_SELLER_QUANTILE)
+    known = (df if quantities is None else quantities).select("quantity_sold")
+    threshold = exact_quantile(known, "quantity_sold", BEST_SELLER_QUANTILE)
     return df.withColumns({
         "log_quantity_sold": F.log1p(sold),
         "best_seller": sold >= threshold.scalar(),
@@ -97,10 +97,24 @@ def clean_rows(raw: DataFrame) -> DataFrame:
 def clean_products(raw: DataFrame) -> DataFrame:
     """Clean rows, best row per id, sales targets; original columns first.
 
-    The deduplicated table is staged: the quantile then reads one column of it
-    instead of repeating the cleaning and the shuffle.
+    The quantile comes from a pass over the few columns that decide which row
+    of an id stays; the wide rows are cleaned, shuffled and written once.  `raw`
+    is read twice (those columns, then all): pass a table, not a long plan.
     """
     rows = clean_rows(raw)
-    if "id" in rows.columns:
-        rows = stage(best_row_per_id(rows), "products")
-    return add_sales_targets(rows)
+    if "id" not in rows.columns:
+        return add_sales_targets(rows)
+    narrow = clean_rows(raw.select(*ranking_columns(raw)))
+    return add_sales_targets(best_row_per_id(rows), best_row_per_id(narrow))
+
+
+def clean_types(columns: list[str]) -> dict[str, str]:
+    """Types of a clean table's columns, from the names of those it has."""
+    rows = clean_rows(SparkSession.active().createDataFrame([], text_schema([c for c in columns if c in RAW_TYPES])))
+    return {**dict(rows.dtypes), "log_quantity_sold": "double", "best_seller": "boolean"}
+
+
+def typed(table: DataFrame) -> DataFrame:
+    """A clean table that came as text (CSV), with the types it had; unknown columns stay text."""
+    types = clean_types(table.columns)
+    return table.select(*[text.to_type(F.col(c), types.get(c, "string")).alias(c) for c in table.columns])

@@ -213,7 +213,10 @@ def test_sold_quantity(value_of, value, expected):
 @pytest.mark.parametrize("value, expected", [
     ("<TITLE lang='x'>\n A &amp; B &eacute;&#233; </title>", "A & B éé"),
     ("<title></title>", ""), ("<html><titles>x</titles>", "No title"), (None, "No title"),
-    ("<title>a &lt;b &amp</title>", "a <b &amp"), ("<title>&amp;lt;</title>", "&lt;"),
+    ("<title>a &lt;b &amp</title>", "a <b &"), ("<!-- <title>old</title> --><title>new</title>", "new"),
+    ("<script>var t = '<title>no</title>';</script><title>&copy 1 &#x41;&#233;</title>", "© 1 Aé"),
+    ("<STYLE>/* <title>no</title> */</STYLE >", "No title"), ("<!-- <title>open</title>", "No title"),
+    ("<title>a</title><!-- b -->", "a"), ("<title>&amp;lt;</title>", "&lt;"),
     ("<title>one</title><title>two</title>", "one"),
 ])
 def test_page_title(value_of, value, expected):

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from shelflens.functions import names, packed, text
 from shelflens.operators.dedup import best_row_per_id
-from shelflens.plans import clean
+from shelflens.plans import clean, load
 from shelflens.schema import (
     BADGE_WORDS, NAME_KEYWORDS, NULL_TOKENS, RAW_TYPES, STAR_LEVELS, STOCK_KEYS, TRACKING_FLAGS,
 )
-from shelflens.staging import stage
+from shelflens.sources import sinks
+from shelflens.staging import stage, stage_path
 
 from .registry import products_raw, query
 
@@ -248,9 +249,21 @@ def best_seller_flag(spark, sf_dir):
     )
 
 
-@query("clean_products", f"""
+_CLEAN = f"""
 WITH {_CLEAN_ROWS}, {_BEST}
-SELECT *, round(ln(1 + quantity_sold), 9) AS log_quantity_sold, quantity_sold >= {_TARGET} AS best_seller FROM best""")
+SELECT *, round(ln(1 + quantity_sold), 9) AS log_quantity_sold, quantity_sold >= {_TARGET} AS best_seller FROM best"""
+
+
+@query("clean_products", _CLEAN)
 def clean_products(spark, sf_dir):
     cleaned = clean.clean_products(products_raw(spark, sf_dir))
     return cleaned.withColumn("log_quantity_sold", F.round("log_quantity_sold", 9))
+
+
+@query("clean_roundtrip", _CLEAN)
+def clean_roundtrip(spark, sf_dir):
+    """The clean table as CSV, read back with its types."""
+    path = stage_path(spark, "clean")
+    sinks.write_merged(clean.clean_products(products_raw(spark, sf_dir)), path, "csv")
+    back = load.read_csv_table(spark, path)
+    return back.withColumn("log_quantity_sold", F.round("log_quantity_sold", 9))
