@@ -18,6 +18,7 @@ from ..operators.metrics import regression_metrics
 from ..operators.split import split_part
 from ..schema import MODEL_FEATURES
 from ..staging import stage, unstage
+from . import screening
 
 TARGET = "price"
 
@@ -63,6 +64,16 @@ def add_name_features(products: DataFrame) -> DataFrame:
     return products.withColumns(name_features(F.col("name"))) if "name" in products.columns else products
 
 
+def selected_features(products: DataFrame, key: str = "id", target: str = TARGET) -> tuple[str, ...]:
+    """Columns whose association with the target reaches the threshold, on the training rows alone.
+
+    One name per column comes to the driver.
+    """
+    train = products.where(F.col(target) >= 0).where(split_part(F.col(key)) == "train")
+    chosen = screening.selected_features(screening.association_table(train, target))
+    return tuple(sorted(row.feature for row in chosen.collect()))
+
+
 def model_table(
     products: DataFrame, key: str = "id", features: tuple[str, ...] = MODEL_FEATURES, target: str = TARGET
 ) -> DataFrame:

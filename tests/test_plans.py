@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,14 +192,56 @@ def test_category_folders(spark, crawl):
     assert report == {("b", 0): 2, (toys, 0): 3, (None, 1): 5}
 
 
-def test_only_files_that_need_it_are_unsplittable(spark, crawl):
-    shapes = csv_files.file_shapes(spark, f"{crawl}/*/*.csv")
-    assert {s.header: (s.charset, s.multiline) for s in shapes} == {
-        ("id", "name"): ("utf-8", True), ("name", "id", "extra"): ("windows-1258", False),
-        ("name", "id", "category"): ("utf-8", False),
+def test_facts_of_files(spark, crawl):
+    """Only files with values over several lines are put together by file."""
+    files = csv_files.line_facts(csv_files.text_lines(spark, f"{crawl}/*/*.csv")).collect()
+    assert {bytes(r.header)[-2:]: (r.utf8, r.multiline) for r in files} == {
+        b"me": (True, True), b"ra": (False, False), b"ry": (True, False),
     }
 
 
+@pytest.mark.parametrize("broadcast", [csv_files.BROADCAST_FILES, 0])
+def test_records_that_do_not_fit(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(csv_files, "BROADCAST_FILES", broadcast)
+    put(tmp_path / "c" / "a.csv", b'id,name\n1,x\n2,"a,b",3\n\nid,name\n3\n4,y,,\nid,name\n5,6.5" tv\n')
+    put(tmp_path / "c" / "b.csv", b'id,name\r\n6,"two\r\n\r\nlines, ""q"""\r\n7,z,surplus\r\n8,"never\r\n9,w\r\n10,v\r\n')
+    merged = ingest.category_folders(spark, str(tmp_path))
+    rows = {r.id: r.name for r in merged.rows.collect()}
+    assert rows == {"1": "x", "3": None, "4": "y", "5": '6.5" tv', "6": 'two\n\nlines, "q"', "9": "w", "10": "v"}
+    rejects = sorted((r.file_path[-5:], r.reason, r.record) for r in merged.rejects.collect())
+    assert rejects == [
+        ("a.csv", csv_files.HEADER_AGAIN, "id,name"), ("a.csv", csv_files.HEADER_AGAIN, "id,name"),
+        ("a.csv", csv_files.SURPLUS, '2,"a,b",3'), ("b.csv", csv_files.SURPLUS, "7,z,surplus"),
+        ("b.csv", csv_files.OPEN_QUOTE, '8,"never'),
+    ]
+
+
+def test_quotes_over_lines_against_a_csv_parser(spark, tmp_path):
+    """Random records through the standard library's writer, in blocks and files."""
+    rng = random.Random(4)
+    want = set()
+    for f in range(6):
+        lines = io.StringIO()
+        writer = csv.writer(lines, lineterminator="\n", quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+        writer.writerow(["id", "a", "b"])
+        for i in range(40):
+            a, b = ("".join(rng.choices('xy,"\n ', k=rng.randint(1, 9))) for _ in "ab")
+            writer.writerow([f"{f}-{i}", a, b])
+            want.add((f"{f}-{i}", a, b))
+        put(tmp_path / "c" / f"{f}.csv", lines.getvalue().encode())
+    found = ingest.category_folders(spark, str(tmp_path))
+    assert {tuple(r) for r in found.rows.select("id", "a", "b").collect()} == want
+    assert found.rejects.isEmpty()
+
+
+def test_every_byte_of_the_fallback_charset(spark, tmp_path):
+    text = "".join(c for b in range(128, 256) if (c := bytes([b]).decode("cp1258", errors="replace")) != "\ufffd")
+    put(tmp_path / "c" / "a.csv", f"id,name\n1,{text}\n".encode("cp1258"))
+    before = spark.conf.get("spark.sql.legacy.javaCharsets", None)
+    assert ingest.merge_category_folders(spark, str(tmp_path)).first().name == text
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", None) == before
+
+
 def test_raw_folder(spark, tmp_path):
     put(tmp_path / "b.csv", b"id,x,category\n1,u,own\n")
     put(tmp_path / "a.csv", b"y,id\nv,2\n")
@@ -254,6 +300,38 @@ def test_listing_stops_at_the_first_empty_page(spark, tmp_path):
     assert [r.id for r in only.collect()] == ["3"]
 
 
+def test_listing_items_are_parsed_once(spark, tmp_path):
+    """The first read takes the pages' lengths only."""
+    put(tmp_path / "pages.json", b'{"page": 1, "data": [{"id": 1, "name": "a"}]}')
+    plan = payload_files.read_listing(spark, str(tmp_path))._jdf.queryExecution().explainString(
+        spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    schemas = re.findall(r"ReadSchema: (.*)", plan)
+    assert len(schemas) >= 2 and sum("badges_new" in s for s in schemas) == 1
+
+
+def test_broken_payloads_are_told_apart(spark, tmp_path):
+    put(tmp_path / "d.json", b'{"product_id": 1, "spid": 2}\n\n{"product_id": 3, "spid"\n[]\n[{"product_id": 4}]\n[{"product_id"\n')
+    rejects = payload_files.payload_rejects(spark, str(tmp_path), DETAIL).collect()
+    assert [r.record for r in rejects] == ['{"product_id": 3, "spid"', '[{"product_id"'] and rejects[0].file_path.endswith("/d.json")
+    put(tmp_path / "m" / "whole.json", b'{"product_id": 1,\n "spid": \n')
+    put(tmp_path / "m" / "good.json", b'{"product_id": 1,\n "spid": 2}\n')
+    assert payload_files.payload_rejects(spark, str(tmp_path / "m"), DETAIL, multi_line=True).count() == 1
+
+
+def test_wide_rows_are_not_staged_for_the_threshold(spark, raw):
+    """The quantile reads the deciding columns only."""
+    plan = clean.clean_products(raw)._jdf.queryExecution().analyzed().toString()
+    assert "/products-" not in plan
+
+
+def test_known_quantity_before_an_unknown_one(spark):
+    rows = [("1", None, "a", "f"), ("1", "-1", "b", "f"), ("2", "5", "a", "f"), ("3", None, "a", "f")]
+    df = spark.createDataFrame(rows, "id string, quantity_sold string, name string, source_file string")
+    best = {r.id: r.quantity_sold for r in clean.clean_products(df).collect()}
+    assert best == {1: -1.0, 2: 5.0, 3: None}
+
+
 def test_enrich_keeps_products_without_payloads(spark):
     items = spark.createDataFrame(
         [("1", "11", "5", "100"), ("2", None, None, "200"), ("3", "33", "7", "300")],

@@ -14,9 +14,9 @@ from .registry import products, query
 
 _BUCKET = "CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % 10000"
 _ID = "CAST(id AS VARCHAR)"
-_PART = f"""CASE WHEN {_BUCKET.format(key=_ID)} < 3000 THEN 'holdout'
+PART = f"""CASE WHEN {_BUCKET.format(key=_ID)} < 3000 THEN 'holdout'
     WHEN {_BUCKET.format(key=_ID + " || '|dev'")} < 2000 THEN 'test' ELSE 'train' END"""
-_SPLIT = f"split AS (SELECT *, {_PART} AS part FROM products WHERE price >= 0)"
+_SPLIT = f"split AS (SELECT *, {PART} AS part FROM products WHERE price >= 0)"
 
 _NUMERIC = ("reviews_count", "log_quantity_sold", "rating_average", "star_5_percent", "star_1_percent")
 _CATEGORICAL = ("primary_category_path", "brand_or_author", "brand_name", "categories", "category",

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelflens.operators.association import correlation_ratio, spearman
-from shelflens.plans import screening
+from shelflens.plans import price_model, screening
 
+from .model_queries import PART
 from .registry import products, query
 
 # What is left of the products view once excluded columns are dropped.  Flags:
@@ -99,3 +100,18 @@ _MATRIX_COLUMNS = (*_NUMERIC, "price")
 )))
 def spearman_matrix(spark, sf_dir):
     return screening.rank_matrix(products(spark, sf_dir)).withColumn("rho", F.round("rho", 8))
+
+
+_TRAINING = _ONCE.replace("SELECT * FROM products", f"SELECT * FROM products WHERE price >= 0 AND {PART} = 'train'")
+
+
+@query("selected_model_features", f"WITH {_TRAINING} " + _materialized(
+    f"SELECT feature FROM ({_TABLE}) WHERE abs(association_value) >= 0.05"
+))
+def selected_model_features(spark, sf_dir):
+    """The features a model is given that chooses its own: screened on the training rows alone."""
+    rows = products(spark, sf_dir)
+    chosen = price_model.selected_features(rows)
+    table = price_model.model_table(rows, features=chosen)
+    kept = [c for c in table.columns if c in chosen]
+    return spark.range(1).select(F.explode(F.lit(kept)).alias("feature"))
