@@ -285,7 +285,8 @@ def test_packing_round_trip(docs, rows, longest):
 
     path = public_tokenizers.path(queries.TOKENIZER)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    rows = [*rows, (77_001, "a <|endoftext|> b", *rows[0][2:]), (77_002, "<|endoftext|><|endoftext|>", *rows[0][2:])]
+    docs = docs.sparkSession.createDataFrame(rows, SCHEMA).repartition(3)
     pieces = binary_packing.pack(docs, path, longest).collect()
     assert len({p.sequence_id for p in pieces}) == len(pieces)
     ids_of = lambda t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
@@ -306,13 +307,35 @@ def test_packing_round_trip(docs, rows, longest):
 def test_word_encoder_odd_spaces():
     import public_tokenizers
     import pyarrow as pa
+    from tokenizers import Tokenizer
 
-    encoder = binary_packing.WordEncoder(public_tokenizers.path(queries.TOKENIZER), entries=3)
+    path = public_tokenizers.path(queries.TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
     texts = ["", " ", "a  b", " a b ", "a  b", "a  b", "a\x1c b c\x85 d", "it's 1 22 a.\nB,\n\nc !!", "<|endoftext|> a<|endoftext|>b",
              "é è\tç  　 ü", "ʰx ªb ﬁn.", "x.\ny z?\nß!"]
-    for _ in range(2):
-        want = [e.ids for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]
-        assert [list(i) for i in encoder.encode(pa.array(texts))] == want
+    texts += ["a\u2028 b \x1fc", "Ω one ωx. \u0250a Ǆ.", "end.\nNext;\n", "a.b c.,d ?! x...\ny!", "a\n\nb c\nd\ne", "\u2003 x"]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for cache_bytes in (0, 300, 1 << 20):
+        encoder = binary_packing.WordEncoder(path, cache_bytes)
+        for _ in range(3):
+            assert [list(i) for i in encoder.encode(pa.array(texts))] == want
+        assert [list(i) for i in encoder.encode(pa.array(texts[3:5]))] == want[3:5]
+        assert encoder.encode(pa.array([], pa.string())) == []
+
+
+def test_word_encoder_against_the_tokenizer():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.TOKENIZER)
+    tokenizer, encoder = Tokenizer.from_file(path), binary_packing.WordEncoder(path, 5000)
+    rng = random.Random(12)
+    signs = [" ", " ", "  ", "\n", "\t", "a", "word", "The", "é", "ß", "ǆ", "ʰ", "中", "1", "'s", ".", ",", "!?", "\x1c", "\xa0", "<|endoftext|>", "<|", "😀"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(600)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    got = [list(ids) for at in range(0, 600, 50) for ids in encoder.encode(pa.array(texts[at:at + 50]))]
+    assert got == want
 
 
 @pytest.fixture(scope="module")
