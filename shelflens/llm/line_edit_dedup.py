@@ -241,42 +241,71 @@ def candidate_pairs(different: DataFrame, bands: Bands) -> DataFrame:
     return reduce(DataFrame.union, found).distinct()
 
 
-def without_common_ends(a: Column, b: Column, max_edits: int, rounds: int = 3) -> Column:
-    """The two texts (`a`, `b`) without equal beginnings and ends, which cost no edits.
+def _common(take: Callable[[Column, Column], Column], a: Column, b: Column, most: Column) -> Column:
+    """How many characters two texts share at one end (`take`), `most` at most, by halving."""
+    rounds = F.ceil(F.log2(most + 1)).cast("int")
 
-    Each round compares and cuts a half of what is left from either end; enough stays for the band.
-    """
-    def first(both: Column, half: Column) -> Column:
-        x, y = both["a"], both["b"]
-        return F.when(F.left(x, half) == F.left(y, half), F.struct(
-            F.substring(x, half + 1, F.char_length(x)).alias("a"), F.substring(y, half + 1, F.char_length(y)).alias("b"),
-        )).otherwise(both)
-
-    def last(both: Column, half: Column) -> Column:
-        x, y = both["a"], both["b"]
-        return F.when(F.right(x, half) == F.right(y, half), F.struct(
-            F.left(x, F.char_length(x) - half).alias("a"), F.left(y, F.char_length(y) - half).alias("b"),
-        )).otherwise(both)
-
-    both = F.struct(a.alias("a"), b.alias("b"))
-    for cut in (first, last) * rounds:
-        both = _let(both, lambda s, cut=cut: _let(
-            F.greatest(F.floor((F.least(F.char_length(s["a"]), F.char_length(s["b"])) - (2 * max_edits + 2)) / 2).cast("int"), F.lit(0)),
-            lambda half: cut(s, half),
-        ))
-    return both
+    def step(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        return _let(F.shiftright(low + high + 1, 1), lambda half: F.when(
+            take(a, half) == take(b, half), F.struct(half.alias("low"), high.alias("high"))
+        ).otherwise(F.struct(low.alias("low"), (half - 1).alias("high"))))
+
+    start = F.struct(F.lit(0).alias("low"), most.alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), rounds), start, step, lambda state: state["low"])
+
+
+def without_common_ends(a: Column, b: Column, max_edits: int) -> Column:
+    """The two texts (`a`, `b`) without equal beginnings and ends, which cost no edits; enough stays for the band."""
+    def spare(both: Column) -> Column:
+        shorter = F.least(F.char_length(both["a"]), F.char_length(both["b"]))
+        return F.greatest(shorter - (2 * max_edits + 2), F.lit(0))
+
+    def behind(both: Column) -> Column:
+        return _let(_common(F.left, both["a"], both["b"], spare(both)), lambda n: F.struct(*[
+            F.substring(both[c], n + 1, F.char_length(both[c])).alias(c) for c in ("a", "b")
+        ]))
+
+    def before(both: Column) -> Column:
+        return _let(_common(F.right, both["a"], both["b"], spare(both)), lambda n: F.struct(*[
+            F.left(both[c], F.char_length(both[c]) - n).alias(c) for c in ("a", "b")
+        ]))
+
+    return _let(_let(F.struct(a.alias("a"), b.alias("b")), behind), before)
+
+
+#: Characters counted before a pair is verified; all others are one class more.  Any choice is right.
+COUNTED = "abcdefghijklmnopqrstuvwxyz .,"
+
+
+def _bag_gap(a: Column, b: Column) -> Column:
+    """By how much two texts' counts of characters differ, in all; an edit changes it by two at most."""
+    def counts(text: Column) -> list[Column]:
+        size = F.octet_length(text)
+        return [size - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in COUNTED]
+
+    gap, others = F.lit(0), F.char_length(a) - F.char_length(b)
+    for x, y in zip(counts(a), counts(b), strict=True):
+        gap = gap + F.abs(x - y)
+        others = others - (x - y)
+    return gap + F.abs(others)
 
 
 def within_reach(a: Column, b: Column, bands: Bands) -> Column:
-    """Whether two lines are within the edits of the shorter one's band."""
+    """Whether two lines are within the edits of the shorter one's band.
+
+    What both begin and end with is cut off; the rest is followed along the band only if its characters
+    can be reconciled by the edits allowed.
+    """
     def near(n_a: Column, n_b: Column) -> Column:
         n = F.least(n_a, n_b)
         verdict = F.lit(False)
         for least, edits in bands:
-            rest = without_common_ends(a, b, edits)
-            distance = _let(rest, lambda r, edits=edits: banded_distance(r["a"], r["b"], edits))
-            verdict = F.when(n >= least, distance <= edits).otherwise(verdict)
-        return (F.abs(n_a - n_b) <= _edits(n, bands)) & verdict
+            found = _let(without_common_ends(a, b, edits), lambda r, edits=edits: F.when(
+                _bag_gap(r["a"], r["b"]) <= 2 * edits, banded_distance(r["a"], r["b"], edits) <= edits
+            ).otherwise(F.lit(False)))
+            verdict = F.when(n >= least, found).otherwise(verdict)
+        return F.when(F.abs(n_a - n_b) <= _edits(n, bands), verdict).otherwise(F.lit(False))
 
     return near(F.char_length(a), F.char_length(b))
 
