@@ -252,15 +252,17 @@ def _parsed(records: DataFrame, widths: list[int]) -> DataFrame:
     )
     options = {"quote": '"', "escape": '"'}
 
-    def parsed_by(width: int) -> Column:
-        row = F.from_csv(text, ", ".join(f"c{i} string" for i in range(width)), options)
-        # Bound once: taking a field out of the parsed row would parse it again.
-        return F.transform(F.array(row), lambda r: F.array(*[r[f"c{i}"] for i in range(width)]))[0]
-
-    parsed = F.coalesce(*[F.when(F.col("_width") == width, parsed_by(width)) for width in widths])
-    return records.select(
-        FILE_PATH, FILE_NAME, "_shape", "_record", parsed.alias("_fields"), reject.alias("_reject")
+    fits = {width: F.col("_width") == width for width in widths}
+    rows = {
+        width: F.from_csv(text, ", ".join(f"c{i} string" for i in range(width)), options) for width in widths
+    }
+    # A step of its own: taking a field out of the parsed row would parse it again.
+    read = records.select(
+        FILE_PATH, FILE_NAME, "_shape", "_width", "_record", reject.alias("_reject"),
+        *[F.when(fits[width], row).alias(f"_row{width}") for width, row in rows.items()],
     )
+    fields = [F.when(fits[w], F.array(*[F.col(f"_row{w}")[f"c{i}"] for i in range(w)])) for w in widths]
+    return read.select(FILE_PATH, FILE_NAME, "_shape", "_record", F.coalesce(*fields).alias("_fields"), "_reject")
 
 
 def decoded(path: Column) -> Column:
