@@ -96,12 +96,13 @@ def urls(rules: tuple[tuple[str, str, str], ...]) -> str:
     fits = "(host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)"
     return rf"""
 WITH RECURSIVE rules(rule_host, rule_path, rule, action) AS (VALUES {listed}),
+bare AS (SELECT url, regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g') AS html FROM pages),
 tags AS (
-    SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?\s*canonical\b[^>]*>')) AS tag, '\bhref' AS name
-    FROM pages WHERE contains(url, '://')
+    SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|''(?:[^''>]*\s)?canonical(?:\s[^''>]*)?''|canonical\b)[^>]*>')) AS tag, '\bhref' AS name
+    FROM bare WHERE contains(url, '://')
     UNION ALL
     SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?\s*refresh\b[^>]*>')), '\burl'
-    FROM pages WHERE contains(url, '://')
+    FROM bare WHERE contains(url, '://')
 ),
 links AS (SELECT url, trim(regexp_extract(tag, '(?is)' || name || '\s*=\s*["'']?([^"''>\s]+)', 1)) AS link FROM tags),
 targets AS (
@@ -110,7 +111,7 @@ targets AS (
                      WHEN starts_with(link, '/') THEN 'x://' || regexp_extract(url, '://([^/?#]*)', 1) || link
                      ELSE 'x://' || regexp_extract(url, '://([^/?#]*)', 1)
                           || coalesce(nullif(regexp_extract(url, '://[^/?#]*(/[^?#]*/|/)', 1), ''), '/') || link END AS target
-    FROM links WHERE link <> ''
+    FROM (SELECT url, regexp_replace(link, '(?i)&(?:amp|#38|#x26);', '&', 'g') AS link FROM links) WHERE link <> ''
 ),
 edges AS (SELECT DISTINCT {node.format("url")} AS a, {node.format("target")} AS b FROM targets),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),

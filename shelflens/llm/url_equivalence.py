@@ -28,10 +28,16 @@ from .components import connected_components
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 Rule = tuple[str, str, str]  # host, path, "block" or "allow"
 
-_CANONICAL = r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?\s*canonical\b[^>]*>)"
+_COMMENT = r"(?s)<!--.*?-->"
+# `canonical` may stand among other values of `rel`.
+_CANONICAL = (
+    r"(?is)(<link\b[^>]*\brel\s*=\s*(?:\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'"
+    r"|canonical\b)[^>]*>)"
+)
 _REFRESH = r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b[^>]*>)"
 _HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-_TARGET = r"(?is)\burl\s*=\s*([^\"'>\s]+)"
+_TARGET = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s]+)"
+_AMPERSAND = r"(?i)&(?:amp|#38|#x26);"  # the one sign of urls that pages must escape
 
 
 def host_of(url: Column) -> Column:
@@ -66,6 +72,8 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     """`a`, `b`: nodes joined by a canonical link or a meta refresh of a page."""
     found = pages.select(pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html"))
     found = found.where(F.col("html").rlike("(?i)canonical|refresh") & F.col("url").contains("://"))
+    bare = F.when(F.col("html").contains("<!--"), F.regexp_replace("html", _COMMENT, " ")).otherwise(F.col("html"))
+    found = found.select("url", bare.alias("html"))
     href = F.col("tag")
     canonical = found.select("url", F.explode(F.regexp_extract_all("html", F.lit(_CANONICAL), 1)).alias("tag")).select(
         "url", F.concat(*[F.regexp_extract(href, _HREF, i) for i in (1, 2, 3)]).alias("link")
@@ -73,7 +81,8 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     refresh = found.select("url", F.explode(F.regexp_extract_all("html", F.lit(_REFRESH), 1)).alias("tag")).select(
         "url", F.regexp_extract(href, _TARGET, 1).alias("link")
     )
-    return canonical.union(refresh).where("link != ''").select(
+    links = canonical.union(refresh).where("link != ''").select("url", F.regexp_replace("link", _AMPERSAND, "&").alias("link"))
+    return links.select(
         node_of(F.col("url")).alias("a"), node_of(_resolved(F.col("url"), F.col("link"))).alias("b")
     ).where("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct()
 

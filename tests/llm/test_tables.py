@@ -115,3 +115,30 @@ def test_url_rules_and_aliases(spark):
     with_table = {r.page_id: r.verdict for r in url_equivalence.judge_urls(frame, queries.URL_RULES, moved).collect()}
     assert with_table[5] == "block"
     assert url_equivalence.judge_urls(frame.limit(0), queries.URL_RULES).count() == 0
+
+
+EDGE_PAGES = [
+    (1, "http://a.example.org/", "<meta http-equiv=\"refresh\" content=\"0;url='http://bad.net/z'\">"),  # quoted target
+    (2, "http://b.example.org/", '<link rel="canonical" href="http://h.example.org/p?x=1&amp;y=2">'),  # escaped sign
+    (3, "http://h.example.org/p?x=1&y=2", '<link rel="canonical" href="http://bad.net/y">'),
+    (4, "http://c.example.org/", '<link rel="alternate canonical" href="http://bad.net/z">'),  # one of several values
+    (5, "http://d.example.org/", '<!-- <link rel="canonical" href="http://bad.net/z"> -->'),  # in a comment
+    (6, "http://e.example.org/", '<link rel="non-canonical" href="http://bad.net/z">'),
+    (7, "http://f.example.org/", "x " * 200_000 + "<!-- -->" + "<link rel='canonical' href='http://bad.net/z'>"),  # very long
+    (7, "http://f.example.org/", "x " * 200_000 + "<!-- -->" + "<link rel='canonical' href='http://bad.net/z'>"),  # repeated
+]
+
+
+def test_url_edges_in_every_spelling(spark):
+    import duckdb
+    import pyarrow as pa
+
+    frame = spark.createDataFrame(EDGE_PAGES, "page_id long, url string, html string")
+    found = url_equivalence.judge_urls(frame, queries.URL_RULES).select("page_id", "verdict").collect()
+    verdicts = {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block"}
+    assert sorted(map(tuple, found)) == sorted((i, verdicts[i]) for i, _, _ in EDGE_PAGES)
+    pages = pa.table({c: [r[i] for r in EDGE_PAGES] for i, c in enumerate(("page_id", "url", "html"))})
+    con = duckdb.connect()
+    con.register("pages", pages)
+    checked = con.sql(f"SELECT DISTINCT page_id, verdict FROM ({queries.CHECKS['op7_url_equivalence']})").fetchall()
+    assert dict(checked) == verdicts
