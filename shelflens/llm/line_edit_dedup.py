@@ -121,7 +121,10 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
 
     Bit i of the vectors is row `column - max_edits + i` of the edit matrix.  The
     distance is followed down the lower edge of the band to the last row of `a`,
-    then along that row.  Lengths must differ by `max_edits` at most, and `a`
+    then along that row.  Where the band holds one least diagonal from which all
+    values grow by one a cell, a run of equal letters on it changes nothing and is
+    passed in one go; a column without a value of at most `max_edits` ends the
+    work.  Lengths must differ by `max_edits` at most, and `a`
     must be longer than `max_edits`.
     """
     k = max_edits
@@ -143,8 +146,8 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
             same = same + F.when(F.get(rows, j - k + i - 1) == letter, lit(1 << i)).otherwise(lit(0))
         return same
 
-    def step(both: Column, state: Column, j: Column) -> Column:
-        up, down, m = state["up"], state["down"], both["m"]
+    def step(both: Column, state: Column) -> Column:
+        up, down, j, m = state["up"], state["down"], state["at"], both["m"]
         letter = F.get(both["columns"], j - 1)
         return _let(equal_rows(both["rows"], letter, j), lambda same: _let(
             (same.bitwiseAND(up) + up).bitwiseAND(lit(full)).bitwiseXOR(up).bitwiseOR(same).bitwiseOR(down),
@@ -156,19 +159,57 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
                     (state["distance"] + F.when(j <= m - k, 1 - bit(flat, F.lit(width - 1))).otherwise(
                         bit(right["more"], m - j + k) - bit(right["less"], m - j + k)
                     )).alias("distance"),
+                    (j + 1).alias("at"),
                 ),
             ),
         ))
 
+    def moved(state: Column, distance: Column, at: Column) -> Column:
+        return F.struct(state["up"].alias("up"), state["down"].alias("down"), distance.alias("distance"), at.alias("at"))
+
+    def row(state: Column) -> Column:
+        return state["at"] - k + F.bit_count(state["down"])
+
+    def funnel(both: Column, state: Column) -> Column:
+        """All values grow from one diagonal outwards, and the next letters on it are equal."""
+        down = state["down"]
+        return (
+            (state["at"] <= both["m"] - k) & (state["up"] == flip(down)) & (state["up"] != 0)
+            & (down.bitwiseAND(down + 1) == 0)
+            & (F.get(both["rows"], row(state) - 1) == F.get(both["columns"], state["at"] - 1))
+        )
+
+    def run(both: Column, state: Column) -> Column:
+        """Behind the equal letters of the diagonal: they leave the band as it is."""
+        rest = F.struct(
+            F.substring(both["a"], row(state), both["m"]).alias("a"),
+            F.substring(both["b"], state["at"], both["n"]).alias("b"),
+            F.least(both["m"] - k, both["n"]).alias("end"),
+        )
+        return _let(rest, lambda r: moved(
+            state, state["distance"],
+            state["at"] + _common(F.left, r["a"], r["b"], r["end"] - state["at"] + 1),
+        ))
+
+    def move(both: Column, state: Column) -> Column:
+        least = state["distance"] - F.bit_count(state["up"].bitwiseAND(lit(full >> 1)))
+        return (
+            F.when(state["at"] > both["n"], state)
+            .when(least > k, moved(state, lit(k + 1), both["n"] + 1))
+            .when(funnel(both, state), run(both, state))
+            .otherwise(step(both, state))
+        )
+
     start = F.struct(
-        lit(((1 << (k + 1)) - 1) << k).alias("up"), lit(0).alias("down"), lit(k).alias("distance"),
+        lit(((1 << (k + 1)) - 1) << k).alias("up"), lit(0).alias("down"), lit(k).alias("distance"), F.lit(1).alias("at"),
     )
     # Bound once: inside the lambda the texts would be cut again for every letter.
     letters = F.struct(
-        F.split(a, "").alias("rows"), F.split(b, "").alias("columns"), F.char_length(a).alias("m"),
+        a.alias("a"), b.alias("b"), F.split(a, "").alias("rows"), F.split(b, "").alias("columns"),
+        F.char_length(a).alias("m"), F.char_length(b).alias("n"),
     )
     return _let(letters, lambda both: F.aggregate(
-        F.sequence(F.lit(1), F.size(both["columns"])), start, lambda state, j: step(both, state, j),
+        F.sequence(F.lit(1), both["n"]), start, lambda state, _: move(both, state),
         lambda state: state["distance"],
     ))
 
