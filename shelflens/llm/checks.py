@@ -19,13 +19,10 @@ FROM pairs
 QUALIFY rank <= 20
 """
 
-_SHARES = range(5, 11)
-
-
-def repetition() -> str:
+def repetition(ngrams: dict[int, float], line_share: float) -> str:
     """Counts and shares of words and lines; one pair of steps per n-gram length."""
     steps = []
-    for n in _SHARES:
+    for n in ngrams:
         gram = " || ' ' || ".join(["w", *[f"lead(w, {i}) OVER seq" for i in range(1, n)]])
         inside = " OR ".join(["coalesce(twice, false)", *[f"coalesce(lag(twice, {i}) OVER seq, false)" for i in range(1, n)]])
         steps.append(f"""
@@ -33,9 +30,9 @@ grams{n} AS (SELECT doc_id, pos, size, {gram} AS gram FROM words WINDOW seq AS (
 twice{n} AS (SELECT doc_id, pos, size, gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram) > 1 AS twice FROM grams{n}),
 inside{n} AS (SELECT doc_id, size, {inside} AS dup FROM twice{n} WINDOW seq AS (PARTITION BY doc_id ORDER BY pos)),
 sum{n} AS (SELECT doc_id, count(*) FILTER (dup) AS n, coalesce(sum(size) FILTER (dup), 0) AS chars FROM inside{n} GROUP BY doc_id),""")
-    shares = "".join(f", coalesce(sum{n}.chars, 0) / greatest(w.word_chars, 1) AS dup_{n}gram_share" for n in _SHARES)
-    joins = "".join(f" LEFT JOIN sum{n} USING (doc_id)" for n in _SHARES)
-    fine = "".join(f" AND dup_{n}gram_share <= 0.2" for n in _SHARES)
+    shares = "".join(f", coalesce(sum{n}.chars, 0) / greatest(w.word_chars, 1) AS dup_{n}gram_share" for n in ngrams)
+    joins = "".join(f" LEFT JOIN sum{n} USING (doc_id)" for n in ngrams)
+    fine = "".join(f" AND dup_{n}gram_share <= {most}" for n, most in ngrams.items())
     return rf"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 words AS (
@@ -64,7 +61,7 @@ measured AS (
            w.n_words < 10 OR 100 * coalesce(sum5.n, 0) > 20 * w.n_words AS base_failed
     FROM texts JOIN w USING (doc_id) LEFT JOIN dups USING (doc_id){joins}
 )
-SELECT *, NOT base_failed AND dup_line_share <= 0.3{fine} AS kept FROM measured
+SELECT *, NOT base_failed AND dup_line_share <= {line_share}{fine} AS kept FROM measured
 """
 
 

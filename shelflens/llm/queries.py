@@ -47,7 +47,7 @@ def op1_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, repetition coverage and verdict of every document."""
-    return repetition_rules.repetition_report(table(spark, sf_dir, "documents"))
+    return repetition_rules.repetition_report(table(spark, sf_dir, "documents"), repetition_rules.FALLING)
 
 
 @query
@@ -139,7 +139,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 # are beyond SQL or too slow in it: tests compare them with brute force.
 CHECKS.update({
     "op1_topk_pivots": checks.TOPK,
-    "op2_repetition_rules": checks.repetition(),
+    "op2_repetition_rules": checks.repetition(repetition_rules.FALLING.ngrams, repetition_rules.FALLING.lines),
     "op5_chat_snapshots": checks.CHATS,
     "op7_url_equivalence": checks.urls(URL_RULES),
     "op11_centroid_clusters": checks.clusters(),
