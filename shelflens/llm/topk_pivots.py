@@ -14,6 +14,8 @@ Defined cases: vectors without an id, null, or with null or non-finite component
 no part; rows with equal id and vector count once; a vector is no candidate of
 queries with its own id; only vectors of the same length are compared; with
 fewer than k candidates all are returned; an empty table gives an empty result.
+A vector whose scaled length is 2**31 or more could have products beyond 64 bits:
+the job fails and says so.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ PIVOTS = 32
 QUERY_ROWS = 512
 CANDIDATE_ROWS = 2048
 STEP = 512
+#: Scaled vectors below this length have inner products of less than 63 bits.
+LONGEST = 2.0**31
 
 
 def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
@@ -50,8 +54,13 @@ def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> D
         for batch in batches:
             x = batch.column(1)
             sizes = np.diff(x.offsets.to_numpy())
-            whole = np.floor(scale * np.asarray(x.flatten(), np.float64)).astype("<i8")
+            scaled = np.floor(scale * np.asarray(x.flatten(), np.float64))
             cuts = np.concatenate([[0], np.cumsum(sizes)])
+            if np.abs(scaled).max(initial=0) >= LONGEST / max(sizes.max(initial=1), 1) ** 0.5 and any(
+                float(np.hypot.reduce(scaled[a:b])) >= LONGEST for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a
+            ):
+                raise ValueError("a vector is so long that its inner products can exceed 64 bits")
+            whole = scaled.astype("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes.astype(np.int32)),
                  pa.array([whole[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
