@@ -15,7 +15,8 @@ whose size is fixed by `bits`.
 Defined cases: null and empty texts have no sentence and score 0; labels that
 are null or neither 0 nor 1, and rows labelled both ways, are not learned from;
 without examples of both labels every score is 0; a null id is never held out
-nor learned from; repeated rows are scored alike.
+nor learned from; repeated rows are scored alike, and of an id with several texts
+the one with the smallest hash is learned from; texts of any length are scored whole.
 """
 
 from __future__ import annotations
@@ -176,7 +177,8 @@ def train(
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(docs[id_col].alias("_doc"), docs[text_col].cast("string").alias("text"))
     bag = texts.join(chosen, F.col("_doc") == F.col("_id")).groupBy("_id").agg(
-        F.first("text").alias("text"), F.first("y").alias("y")
+        # An id with several texts is learned from one of them, the same in every run.
+        F.min(F.struct(F.xxhash64("text").alias("order"), "text"))["text"].alias("text"), F.min("y").alias("y")
     )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
