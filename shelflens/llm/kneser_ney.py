@@ -41,6 +41,8 @@ BROADCAST_GRAMS = 4_000_000
 HELD_GRAMS = 1 << 20
 #: Ids of trusted documents up to this number are sent to the tasks; beyond it texts are joined to them by shuffle.
 BROADCAST_TRUSTED = 1_000_000
+#: Limits of up to this number of languages are sent to the tasks; beyond it documents are joined to them by shuffle.
+BROADCAST_LANGUAGES = 100_000
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +236,11 @@ def judge_by_perplexity(
     overall = exact_quantile(good, "perplexity", quantile, out="overall")
     limits = scored.select(*lang).distinct().join(per_lang, ["name", "none"], "left")
     limits = limits.withColumn("threshold", F.coalesce("own", overall.select(F.max("overall")).scalar()))
-    return scored.withColumns({"name": lang[0], "none": lang[1]}).join(limits.drop("own"), ["name", "none"]).select(
+    limits = stage(limits.drop("own"), "limits")
+    # One row per language goes to the tasks, so that a language of many documents is not one task.
+    to_tasks = limits.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
+    named = scored.withColumns({"name": lang[0], "none": lang[1]})
+    return named.join(F.broadcast(limits) if to_tasks else limits, ["name", "none"]).select(
         "doc_id", "lang", F.col("n").alias("n_scored"), "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"),
     )
