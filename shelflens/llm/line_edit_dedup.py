@@ -279,7 +279,10 @@ def candidate_pairs(different: DataFrame, bands: Bands) -> DataFrame:
             ((F.col("b") < 0) | (a < b)) & (a != b) & (_count_gap(a, b) <= 2 * F.col("key").bitwiseAND(F.lit(_EDITS)))
         )
         found.append(stage(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), f"segment{segment}"))
-    return reduce(DataFrame.union, found).distinct()
+    pairs = stage(reduce(DataFrame.union, found).distinct(), "candidates")
+    for part in found:
+        unstage(part)
+    return pairs
 
 
 def _common(take: Callable[[Column, Column], Column], a: Column, b: Column, most: Column) -> Column:
@@ -357,7 +360,7 @@ def line_links(lines: DataFrame, bands: Bands) -> DataFrame:
     `a_key`, `a_check`, `b_key`, `b_check`: the two hashes of either line.
     """
     different = stage(meeting_lines(lines), "different-lines")
-    pairs = stage(candidate_pairs(different, bands), "candidates")
+    pairs = candidate_pairs(different, bands)
     ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
     few = ends.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     texts = stage(different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi"), "texts")
