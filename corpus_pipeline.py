@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelflens.llm import binary_packing, line_edit_dedup, pivotal_mix, repetition_rules, simhash_pivots
 from shelflens.llm.queries import TOKENIZER
-from shelflens.staging import stage
+from shelflens.staging import stage, unstage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -53,7 +53,10 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over `documents`, one after another."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, staged = spark.read.parquet(f"{sf_dir}/documents.parquet"), False
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        kept = stage(function(spark, docs, sf_dir), name)
+        if staged:
+            unstage(docs)
+        docs, staged = kept, True
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,11 +21,14 @@ def stage_root(spark: SparkSession) -> str:
     """Folder for this application's staged tables.
 
     It lies below the cluster's checkpoint folder or, where none is named, below
-    the warehouse, which all executors share as well.  The JVM deletes it through
-    the folder's own file system when the application ends.
+    the warehouse.  A warehouse on a machine's own disk serves a local session
+    only: executors elsewhere would not find what others wrote.  The JVM deletes
+    the folder through its own file system when the application ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     above = (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not named and not spark.sparkContext.master.startswith("local") and _on_own_disk(spark, above):
+        raise ValueError(f"name a folder that all machines share in spark.checkpoint.dir; the warehouse {above} is local")
     root = f"{above}/shelflens-{spark.sparkContext.applicationId}"
     if root not in _made:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
@@ -36,6 +39,11 @@ def stage_root(spark: SparkSession) -> str:
     return root
 
 
+def _on_own_disk(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the staging folder."""
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
