@@ -96,12 +96,15 @@ def one_per_key(df: DataFrame, keys: tuple[str, ...], prefix: str) -> DataFrame:
 
     The one landed last wins where that is known, else the largest row.  The
     choice is cut down in the map tasks, so a hot key costs one row per task.
+    That sorts what a task holds, and a small compressed file can unfold into
+    many wide rows: they are dealt out by their content first.
     """
     rest = [c for c in df.columns if c not in (*keys, payload_files.LANDED)]
     names = match_names(keys, prefix)
     newest = [F.col(c).desc() for c in _landed(df)]
     order = Window.partitionBy(*names).orderBy(*newest, F.struct(*rest).desc())
-    placed = with_match_keys(df, keys, prefix).withColumn("_place", F.row_number().over(order))
+    dealt = df.repartition(F.xxhash64(*df.columns))
+    placed = with_match_keys(dealt, keys, prefix).withColumn("_place", F.row_number().over(order))
     return placed.where("_place = 1").select(*names, *rest)
 
 

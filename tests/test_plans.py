@@ -389,6 +389,23 @@ def test_payload_landed_last_wins(spark, tmp_path):
     assert [r.inventory_status for r in enrich.one_per_key(details, enrich.DETAIL_KEYS, "_d").collect()] == ["a.json"]
 
 
+def test_payloads_of_one_file_are_dealt_out_before_they_are_sorted(spark, tmp_path):
+    """A file that unfolds into many rows, all of one key, is not sorted by the task that read it."""
+    import re
+
+    path = str(tmp_path / "d")
+    spark.range(0, 2000, 1, 1).selectExpr(
+        "1L AS product_id", "2L AS spid", "lpad(id, 6, '0') AS inventory_status"
+    ).write.parquet(path)
+    kept = enrich.one_per_key(spark.read.parquet(path), enrich.DETAIL_KEYS, "_d")
+    assert [tuple(r)[-1] for r in kept.collect()] == ["001999"]
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    steps = re.findall(r"WindowGroupLimit|Sort|Exchange \w+|Scan", plan)
+    # From the top: the choice over all, the shuffle by key, the choice in the map tasks, the dealing out, the file.
+    assert steps[-4:] == ["WindowGroupLimit", "Sort", "Exchange hashpartitioning", "Scan"], plan
+    assert "Exchange hashpartitioning" in steps[:-4]
+
+
 # ------------------------------------------------------------------- models
 
 
