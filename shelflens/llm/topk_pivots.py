@@ -3,9 +3,10 @@
 Vectors are lifted to a sphere (one more component makes all candidates equally
 long), where the largest inner product is the smallest distance.  Distances of
 queries and candidates to the pivots are computed once per block; the largest
-difference over all pivots is a lower bound of a pair's distance.  Candidates
-are evaluated in the order of their bounds until the next bound lies beyond the
-k-th best distance: the rest cannot be better, and the result is exact.
+difference over all pivots is a lower bound of a pair's distance.  A few queries
+go together: candidates are evaluated in the order of the least of their bounds,
+for each query until all bounds ahead lie beyond its k-th best distance: the rest
+cannot be better, and the result is exact.
 
 Queries and candidates are cut into blocks of bounded size by hash of the id;
 each pair of blocks is one group, so a group never grows with the table.
@@ -34,6 +35,8 @@ PIVOTS = 32
 QUERY_ROWS = 512
 CANDIDATE_ROWS = 2048
 STEP = 512
+#: Queries whose bounds are compared and whose candidates are evaluated in one go.
+TOGETHER = 32
 #: Scaled vectors below this length have inner products of less than 63 bits.
 LONGEST = 2.0**31
 
@@ -102,52 +105,64 @@ def search_block(
     row_table = np.sqrt(np.maximum(
         2 * radius2 - 2 * (_products(rows, pivots) + np.outer(lift(rows), lift(pivots))), 0
     )).astype(np.float32)
-    bounds = np.zeros((len(queries), len(rows)), np.float32)
-    apart = np.empty(len(rows), np.float32)
     columns = np.ascontiguousarray(row_table.T)
-    for q in range(len(queries)):
+    largest = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1]
+    kind = np.float64 if largest < 2.0**52 else np.int64
+    exact, asked, none = rows.astype(kind), queries.astype(kind), _none(kind)
+
+    def reach(some: slice, kth: np.ndarray) -> np.ndarray:
+        """The distance beyond which no candidate scores `kth`; no limit where there is no k-th score yet."""
+        far = np.sqrt(np.maximum(2 * radius2 - 2 * stretch[some] * kth.astype(np.float64), 0)) + slack
+        return np.where((kth > none) & (length[some] > 0), far, np.inf)
+
+    for first in range(0, len(queries), TOGETHER):
+        some = slice(first, first + TOGETHER)
+        own = ids == query_ids[some, None]
+        bounds, apart = np.zeros(own.shape, np.float32), np.empty(own.shape, np.float32)
         for p in range(len(pivots)):
-            np.subtract(columns[p], query_table[q, p], out=apart)
+            np.subtract(columns[p], query_table[some, p, None], out=apart)
             np.abs(apart, out=apart)
-            np.maximum(bounds[q], apart, out=bounds[q])
-    exact = rows.astype(np.float64) if max(np.abs(rows).max(initial=0), np.abs(queries).max(initial=0)) < 2**20 else rows
-    asked = queries.astype(exact.dtype)
-    for q in range(len(queries)):
+            np.maximum(bounds, apart, out=bounds)
+        bounds[own] = np.inf
         # The pivots are rows too: the k-th best of them is a first limit.
-        others = to_pivots[q][pivot_ids != query_ids[q]]
-        least = np.partition(others, len(others) - k)[len(others) - k] if len(others) >= k else None
-        reach = lambda s, q=q: np.sqrt(max(2 * radius2 - 2 * stretch[q] * float(s), 0)) + slack if length[q] else np.inf
-        limit = np.inf if least is None else reach(least)
-        own = bounds[q]
-        alive = np.flatnonzero((own <= limit) & (ids != query_ids[q]))
-        best_id, best, at, step, ordered = np.zeros(0, ids.dtype), np.zeros(0, np.int64), 0, STEP, False
-        while at < len(alive):
-            if not ordered and at == 0 and len(alive) > 2 * STEP:
-                # The smallest bounds first; the rest is put in order once these have set a limit.
-                alive = alive[np.argpartition(own[alive], STEP)]
-            elif not ordered:
-                rest = alive[at:]
-                rest = rest[own[rest] <= limit]
-                alive, at, ordered = rest[np.argsort(own[rest], kind="stable")], 0, True
-                continue
-            elif own[alive[at]] > limit:
+        others = np.where(pivot_ids == query_ids[some, None], none, to_pivots[some].astype(kind))
+        limit = reach(some, _kth(others, k, none))
+        order = np.argsort(bounds.min(axis=0), kind="stable")
+        bounds, own = bounds[:, order], own[:, order]
+        cuts = [0]
+        while cuts[-1] < len(rows):
+            cuts.append(min(len(rows), cuts[-1] + (STEP << (len(cuts) - 1))))
+        # The least bound of what lies behind each cut.
+        ahead = np.minimum.accumulate(np.minimum.reduceat(bounds, cuts[:-1], axis=1)[:, ::-1], axis=1)[:, ::-1]
+        scores = np.full(own.shape, none, kind)
+        kth = np.full(len(own), none, kind)
+        for at, (start, end) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            going = np.flatnonzero(ahead[:, at] <= limit)
+            if not len(going):
                 break
-            some = alive[at:at + step]
-            at += step
-            step *= 2
-            found = (exact[some] @ asked[q]).astype(np.int64)
-            if len(best) == k:
-                good = found >= best[-1]
-                some, found = some[good], found[good]
-            best_id, best = np.concatenate([best_id, ids[some]]), np.concatenate([best, found])
-            if len(best) > 4 * k:
-                good = best >= np.partition(best, len(best) - k)[len(best) - k]
-                best_id, best = best_id[good], best[good]
-            order = np.lexsort((best_id, -best))[:k]
-            best_id, best = best_id[order], best[order]
-            if len(best) == k:
-                limit = min(limit, reach(best[-1]))
-        yield q, best_id, best
+            found = asked[some][going] @ exact[order[start:end]].T
+            found[own[going, start:end]] = none
+            scores[going, start:end] = found
+            kth[going] = _kth(scores[going, :end], k, none)
+            limit = np.minimum(limit, reach(some, kth))
+        which, place = np.nonzero((scores >= kth[:, None]) & (scores > none))
+        best, best_id = scores[which, place].astype(np.int64), ids[order[place]]
+        ranked = np.lexsort((best_id, -best, which))
+        ends = np.searchsorted(which[ranked], np.arange(len(own) + 1))
+        for q, (start, end) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            top = ranked[start:min(end, start + k)]
+            yield first + q, best_id[top], best[top]
+
+
+def _none(kind: type) -> float | int:
+    """Less than any score."""
+    return -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+
+
+def _kth(scores: np.ndarray, k: int, none: float | int) -> np.ndarray:
+    """The k-th largest of every row of scores; `none` where there are fewer."""
+    n = scores.shape[1]
+    return np.partition(scores, n - k, axis=1)[:, n - k] if n >= k else np.full(len(scores), none, scores.dtype)
 
 
 def top_k(

@@ -35,6 +35,35 @@ def test_top_k(spark, query_rows, candidate_rows, pivots):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("together", [3, 32])
+@pytest.mark.parametrize("longest", [40, 2**27])
+def test_block_of_queries_that_go_together(monkeypatch, together, longest):
+    """Ties, own rows, zero vectors and products beyond 52 bits, against brute force."""
+    monkeypatch.setattr(topk_pivots, "TOGETHER", together)
+    monkeypatch.setattr(topk_pivots, "STEP", 16)
+    rng = np.random.default_rng(9)
+    rows = rng.integers(-longest, longest, (400, 6))
+    rows[::50] = 0
+    rows[300:] = rows[rng.integers(0, 20, 100)]
+    ids = rng.permutation(400)
+    queries = np.arange(0, 400, 9)
+    radius2 = float((rows.astype(float) ** 2).sum(axis=1).max())
+    for n_rows in (400, 5, 1):
+        found = list(topk_pivots.search_block(
+            ids[queries], rows[queries], ids[:n_rows], rows[:n_rows], ids[-8:], rows[-8:], radius2, 7,
+        ))
+        assert [q for q, _, _ in found] == list(range(len(queries)))
+        whole = [(s, i, *v) for s, i, v in zip(rows.tolist(), ids.tolist(), rows.tolist(), strict=True)]
+        for q, best, scores in found:
+            asked = rows[queries[q]].tolist()
+            want = sorted((-sum(x * y for x, y in zip(asked, v, strict=True)), i) for v, i, *_ in whole[:n_rows] if i != ids[queries[q]])[:7]
+            got = list(zip((-scores).tolist(), best.tolist(), strict=True))
+            # What the pivots alone beat may be left out: it is in no top 7.
+            assert got == want[:len(got)]
+            pivots = sorted(-sum(x * y for x, y in zip(asked, v, strict=True)) for v, i, *_ in whole[-8:] if i != ids[queries[q]])
+            assert all(s > pivots[6] for s, _ in want[len(got):])
+
+
 def test_top_k_empty(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_pivots.top_k(frame, F.col("vec_id") % 20 == 0).count() == 0
