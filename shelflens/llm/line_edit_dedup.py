@@ -318,36 +318,39 @@ def without_common_ends(a: Column, b: Column, max_edits: int) -> Column:
     return _let(_let(F.struct(a.alias("a"), b.alias("b")), behind), before)
 
 
-#: Characters counted before a pair is verified; all others are one class more.  Any choice is right.
-COUNTED = "etnaisrohdlu"
+#: Characters counted in every candidate line; all others are one class more.  Any choice is right, frequent ones tell most.
+COUNTED = "etnaisrohdlucwbfy .,"
 
 
-def _bag_gap(a: Column, b: Column) -> Column:
-    """By how much two texts' counts of characters differ, in all; an edit changes it by two at most."""
-    def counts(text: Column) -> list[Column]:
-        size = F.octet_length(text)
-        return [size - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in COUNTED]
+def _counts(line: Column) -> Column:
+    """How often each of `COUNTED` and all other characters occur."""
+    size = F.octet_length(line)
+    counts = [size - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED]
+    return F.array(*counts, F.char_length(line) - reduce(Column.__add__, counts))
 
-    gap, others = F.lit(0), F.char_length(a) - F.char_length(b)
-    for x, y in zip(counts(a), counts(b), strict=True):
-        gap = gap + F.abs(x - y)
-        others = others - (x - y)
-    return gap + F.abs(others)
+
+def reconcilable(a: Column, b: Column, n_a: Column, n_b: Column, bands: Bands) -> Column:
+    """Whether the counts and lengths of two lines leave it open that they are within reach.
+
+    An edit adds one at most to what is gained and one to what is lost.  The two together are the sum
+    of the differences, and they differ by the lengths.
+    """
+    gap = F.abs(n_a - n_b)
+    for i in range(len(COUNTED) + 1):
+        gap = gap + F.abs(F.get(a, i) - F.get(b, i))
+    return gap <= 2 * _edits(F.least(n_a, n_b), bands)
 
 
 def within_reach(a: Column, b: Column, bands: Bands) -> Column:
     """Whether two lines are within the edits of the shorter one's band.
 
-    What both begin and end with is cut off; the rest is followed along the band only if its characters
-    can be reconciled by the edits allowed.
+    What both begin and end with is cut off; the rest is followed along the band.
     """
     def near(n_a: Column, n_b: Column) -> Column:
         n = F.least(n_a, n_b)
         verdict = F.lit(False)
         for least, edits in bands:
-            found = _let(without_common_ends(a, b, edits), lambda r, edits=edits: F.when(
-                _bag_gap(r["a"], r["b"]) <= 2 * edits, banded_distance(r["a"], r["b"], edits) <= edits
-            ).otherwise(F.lit(False)))
+            found = _let(without_common_ends(a, b, edits), lambda r, edits=edits: banded_distance(r["a"], r["b"], edits) <= edits)
             verdict = F.when(n >= least, found).otherwise(verdict)
         return F.when(F.abs(n_a - n_b) <= _edits(n, bands), verdict).otherwise(F.lit(False))
 
@@ -363,12 +366,17 @@ def line_links(lines: DataFrame, bands: Bands) -> DataFrame:
     pairs = candidate_pairs(different, bands)
     ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
     few = ends.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    texts = stage(different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi"), "texts")
+    some = different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi")
+    texts = stage(some.select("line_id", "line", F.char_length("line").alias("n"), _counts(F.col("line")).alias("counts")), "texts")
     unstage(different)
-    left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"))
+    left = texts.toDF("a", "line_a", "n_a", "counts_a")
+    right = texts.toDF("b", "line_b", "n_b", "counts_b")
+    # Counted once a line, compared before anything of a pair is cut or followed.
+    open_pairs = pairs.join(left, "a").join(right, "b").where(
+        reconcilable(F.col("counts_a"), F.col("counts_b"), F.col("n_a"), F.col("n_b"), bands)
+    )
     # Dealt out evenly: verifying is the costly part, and pairs of one line lie together.
-    met = pairs.join(left, "a").join(right, "b").repartition(F.xxhash64("a", "b"))
+    met = open_pairs.select("a", "b", "line_a", "line_b").repartition(F.xxhash64("a", "b"))
     near = met.where(within_reach(F.col("line_a"), F.col("line_b"), bands))
     found = stage(near.select(*_line_hashes("line_a", "a"), *_line_hashes("line_b", "b")).distinct(), "line-links")
     names = ["a_key", "a_check", "b_key", "b_check"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 from shelflens.llm import line_edit_dedup
 
@@ -57,3 +58,37 @@ def test_a_word_swapped_in_a_long_line(spark):
 def test_short_equal_lines_go(spark):
     got = kept(spark, ["Ja\n\n \nMenu open", "Ja\nNo\n \nMenu open", "Ja"])
     assert {i: text for i, (text, _) in got.items()} == {0: "Ja\n\n \nMenu open", 1: "No\n ", 2: ""}
+
+
+def test_counts_tell_lines_apart_that_edits_cannot_reconcile(spark):
+    """No pair within reach is ruled out; lines that gain more than the edits allow are, whatever they lose."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    rows = []
+    for length in (20, 70, 100, 130):
+        allowed = next(e for least, e in reversed(line_edit_dedup.BANDS) if length - 7 >= least)
+        for edits in (*range(allowed + 1), 30):
+            a = [rng.choice("etaoin,. z😀é") for _ in range(length)]
+            b = list(a)
+            for _ in range(edits):
+                at = rng.randrange(len(b))
+                b[at:at + rng.randrange(2)] = rng.choice(["", "e", "x", "日"])
+            rows.append(("".join(a), "".join(b)))
+    # Four letters come, none goes: four edits, though the sum of the differences is within twice the two allowed.
+    rows.append(("abcdefghijklmnopqrst", "abcdefghijklmnopqrsteeee"))
+
+    def parts(name):
+        return line_edit_dedup._counts(F.col(name)), F.char_length(name)
+
+    (counts_a, n_a), (counts_b, n_b) = parts("a"), parts("b")
+    frame = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", line_edit_dedup.reconcilable(counts_a, counts_b, n_a, n_b, line_edit_dedup.BANDS).alias("open")
+    )
+    for r in frame.collect():
+        allowed = next(e for least, e in reversed(line_edit_dedup.BANDS) if min(len(r.a), len(r.b)) >= least)
+        if edit_distance(r.a, r.b) <= allowed:
+            assert r.open, r
+        lost = sum((Counter(r.a) - Counter(r.b)).values())
+        if lost == 0 and len(r.b) - len(r.a) > allowed:
+            assert not r.open, r
