@@ -30,8 +30,9 @@ from . import textarrays as ta
 SEQUENCE = 2048
 END_ID = 1
 #: Bytes of words and ids that a task remembers; beyond that it begins anew.
-CACHE_BYTES = 32 << 20
-SLICE_BYTES = 3 << 20
+CACHE_BYTES = 16 << 20
+#: Bytes of text encoded at once: what a slice needs beside its text is many times that.
+SLICE_BYTES = 2 << 20
 #: A single space between two characters that are not white space.  Byte-level BPE
 #: always starts a new word at such a space, so the parts can be encoded apart.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -213,6 +214,35 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _pieces(
+    batches: Iterator[pa.RecordBatch], encoder: WordEncoder, longest: int, end_id: int, names: list[str],
+) -> Iterator[pa.RecordBatch]:
+    """A batch of pieces per slice of the documents (id, text)."""
+    # A worker goes from stage to stage and keeps what it freed unless told otherwise.
+    pool = pa.default_memory_pool()
+    pool.release_unused()
+    for batch in batches:
+        for part in ta.slices(batch, 1, SLICE_BYTES):
+            rows: list[int] = []
+            start, length, total, held = [], [], [], []
+            for row, ids in enumerate(encoder.encode(part.column(1).fill_null(""))):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                at = 0
+                for size in piece_lengths(len(ids), longest):
+                    rows.append(row)
+                    start.append(at)
+                    length.append(size)
+                    total.append(len(ids))
+                    held.append(ids[at:at + size].tobytes())
+                    at += size
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(total, pa.int64()), pa.array(held, pa.binary())],
+                names=names,
+            )
+            pool.release_unused()
+
+
 def pack(
     docs: DataFrame, tokenizer: str, longest: int = SEQUENCE, end_id: int = END_ID,
     id_col: str = "doc_id", text_col: str = "text",
@@ -233,25 +263,7 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for batch in batches:
-            for part in ta.slices(batch, 1, SLICE_BYTES):
-                rows: list[int] = []
-                start, length, total, held = [], [], [], []
-                for row, ids in enumerate(encoder.encode(part.column(1).fill_null(""))):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    at = 0
-                    for size in piece_lengths(len(ids), longest):
-                        rows.append(row)
-                        start.append(at)
-                        length.append(size)
-                        total.append(len(ids))
-                        held.append(ids[at:at + size].tobytes())
-                        at += size
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(total, pa.int64()), pa.array(held, pa.binary())],
-                    names=schema.names,
-                )
+        yield from _pieces(batches, encoder, longest, end_id, schema.names)
         encoder.forget()
 
     pieces = narrow.mapInArrow(cut, schema)
