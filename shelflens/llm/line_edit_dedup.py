@@ -1,14 +1,18 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame functions only.
 
 How many edits are near grows with the length of the shorter line, in `bands`.
-Two lines within `max_edits` edits: cut the shorter into `max_edits + 1` segments
-and one of them occurs unchanged in the longer, at a place that the edits on
-either side of it can explain.  Each line is written under its own segments
-(index) and, for its own length and every shorter one within reach, under the
-few substrings that could be such a segment (probe).  Lines that meet under a
-key are candidates if their counts of some letters can be reconciled by the
-edits allowed (an edit changes two counts by one at most), which keeps the many
-variants of one sentence from being paired with each other.  Candidates are
+Two lines within `max_edits` edits: lay `max_edits + 1` segments of one size over
+the shorter, half of them from its beginning and half from its end; one of them
+occurs unchanged in the longer, the i-th from either end moved by i places at
+most.  Were none of them found so, i + 1 edits would be needed up to the i-th,
+from both ends more than allowed.  The size is fixed by a class of lengths, so a
+line looks for segments of its own class and of those that a shorter line within
+reach can be in, not of every length.  Each line is written under its own
+segments (index) and under the substrings that could be such a segment (probe).
+Lines that meet under a key are candidates if their lengths and their counts of
+some letters can be reconciled by the edits allowed (an edit changes two counts
+by one at most), which keeps the many variants of one sentence from being paired
+with each other.  Candidates are
 verified by edit distance over a diagonal band of `2 * max_edits + 1` cells held
 in the bits of one number.
 
@@ -37,11 +41,12 @@ BANDS = ((6, 2), (60, 3), (80, 4), (120, 6))
 #: Shorter lines are compared for equality only; segments need more than twice the edits.
 MIN_CHARS = BANDS[0][0]
 #: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
-LETTERS = "etnaisroh"
-_HASH_BITS = 63 - 2 * len(LETTERS)
-_ID = (1 << 63) - 1
+LETTERS = "etnaisrohdlucmpgfy "
+#: Rows that a line gives to one join, about.
+READS = 12
 #: The bits of a key that hold the edits allowed.
 _EDITS = 15
+_ID = (1 << 63) - 1
 #: Candidate lines up to this number are sent to the tasks; beyond it they are joined by shuffle.
 BROADCAST_LINES = 500_000
 
@@ -54,20 +59,24 @@ def wide(line: Column) -> Column:
     return F.encode(line, "UTF-32")
 
 
-def segment_reads(max_edits: int) -> list[tuple[int, int, int]]:
-    """(less, segment, shift): which substrings may equal a segment of a line shorter by `less`.
+def segment_reads(max_edits: int) -> list[tuple[int, int]]:
+    """(segment, shift): the places where a segment of the shorter line is looked for in the longer.
 
-    A segment can be shifted by at most as many places as there are segments
-    before it, and by at most as many as there are behind it, from the right end.
+    Segments 0, 1, ... count from the beginning, -1, -2, ... from the end.
     """
+    left = max_edits // 2 + 1
     return [
-        (less, i, shift)
-        for less in range(max_edits + 1)
-        for i in range(max_edits + 1)
-        for shift in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1)
+        (segment, shift)
+        for segment in (*range(left), *range(left - max_edits - 1, 0))
+        for shift in _shifts(segment)
     ]
 
 
+def _shifts(segment: int) -> range:
+    most = segment if segment >= 0 else -1 - segment
+    return range(-most, most + 1)
+
+
 def _edits(length: Column, bands: Bands) -> Column:
     """Edits allowed where the shorter line has this length."""
     allowed = F.lit(bands[0][1])
@@ -76,42 +85,50 @@ def _edits(length: Column, bands: Bands) -> Column:
     return allowed
 
 
-def _reads(n: Column, reads_of: Callable[[int], list[tuple[int, int, int]]], bands: Bands) -> Column:
-    """The reads of a line: those of its own band, and of bands below that a shorter line can be in."""
-    names = ("edits", "least", "below", "less", "segment", "shift")
-    ends = [least for least, _ in bands[1:]] + [_ID >> 32]
-    each = [
-        (least, end + edits, [F.struct(*[F.lit(x).alias(c) for x, c in zip((edits, least, end, *r), names, strict=True)]) for r in reads_of(edits)])
-        for (least, edits), end in zip(bands, ends, strict=True)
-    ]
-    starts = sorted({x for least, end, _ in each for x in (least, end)} - {each[-1][1]})
-    listed = F.array(*each[0][2])
-    for start in starts:
-        held = [r for least, end, reads in each if least <= start < end for r in reads]
-        listed = F.when(n >= start, F.array(*held)).otherwise(listed)
-    return listed
+def _class(n: Column, bands: Bands) -> Column:
+    """The class of a length: the edits allowed, its first length and the one behind its last."""
+    found = F.lit(None)
+    for (least, edits), (end, _) in zip(bands, (*bands[1:], (None, None)), strict=True):
+        width = edits + least // 4
+        at = F.floor((n - least) / width).cast("int")
+        first, behind = at * width + least, (at + 1) * width + least
+        if end is not None:  # what is left over belongs to the last class
+            last = max((end - least) // width, 1) - 1
+            first = F.least(first, F.lit(last * width + least))
+            behind = F.when(at >= last, F.lit(end)).otherwise(behind)
+        found = F.when(n >= least, F.struct(
+            F.lit(edits).alias("edits"), first.cast("int").alias("first"), behind.cast("int").alias("behind"),
+        )).otherwise(found)
+    return found
+
 
+def _classes(n: Column, bands: Bands) -> Column:
+    """The classes of the line's own length and of those that a shorter line within reach may have."""
+    return F.array_distinct(F.array(*[_class(n - less, bands) for less in range(bands[-1][1] + 1)]))
 
-def segment_keys(cut: DataFrame, reads_of: Callable[[int], list[tuple[int, int, int]]], bands: Bands, id_name: str) -> DataFrame:
-    """`id_name` (sign bit set for reads of shorter lines), `key` per line and read; lines as `line_id`, `n` (length) and `text` (wide).
 
-    Segments are those of an even cut, the longer ones last; the shorter line's
-    band says how many, and stands in the last bits of the key.  One row per read
-    keeps the generated code small enough to be compiled.
+def segment_keys(cut: DataFrame, reads_of: Callable[[int], list[tuple[int, int]]], bands: Bands, id_name: str, shorter: bool) -> DataFrame:
+    """`key`, `id_name` and its `traits` per line and read; lines as `line_id`, `traits`, `n` (length) and `text` (wide).
+
+    `shorter`: for every class within reach, not the line's own only.  The edits
+    stand in the last bits of the key.  One row per read keeps the generated code
+    small enough to be compiled.
     """
-    each = cut.select("line_id", "n", "text", F.inline(_reads(F.col("n"), reads_of, bands)))
-    length, parts = F.col("n") - F.col("less"), F.col("edits") + 1
-    measured = each.where((length >= F.col("least")) & (length < F.col("below"))).select(
-        "line_id", "n", "text", "edits", "segment", "shift", length.alias("length"),
-        F.floor(length / parts).cast("int").alias("short"), (parts - length % parts).alias("longer_from"),
-    )
-    start = F.col("short") * F.col("segment") + F.greatest(F.col("segment") - F.col("longer_from"), F.lit(0)) + F.col("shift")
-    size = F.col("short") + (F.col("segment") >= F.col("longer_from")).cast("int")
-    placed = measured.select("line_id", "n", "text", "edits", "segment", "length", start.alias("start"), size.alias("size"))
+    n = F.col("n")
+    classes = _classes(n, bands) if shorter else F.array(_class(n, bands))
+    named = cut.select("line_id", "traits", "n", "text", F.inline(classes)).where(n < F.col("behind") + F.col("edits"))
+    listed = F.lit(None)
+    for _, edits in bands:
+        held = [F.struct(F.lit(segment).alias("segment"), F.lit(shift).alias("shift")) for segment, shift in reads_of(edits)]
+        if held:
+            listed = F.when(F.col("edits") == edits, F.array(*held)).otherwise(listed)
+    size = F.floor(F.col("first") / (F.col("edits") + 1)).cast("int")
+    each = named.select("line_id", "traits", "n", "text", "edits", "first", size.alias("size"), F.inline(listed))
+    begin = F.col("segment") * F.col("size") + F.when(F.col("segment") < 0, n).otherwise(0) + F.col("shift")
+    placed = each.select("line_id", "traits", "n", "text", "edits", "first", "size", "segment", begin.alias("start"))
     return placed.where("start >= 0 AND start + size <= n").select(
-        F.when(F.col("length") < F.col("n"), F.col("line_id").bitwiseOR(F.lit(~_ID))).otherwise(F.col("line_id"))
-        .alias(id_name),
-        F.xxhash64("segment", "length", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size")))
+        F.col("line_id").alias(id_name), F.col("traits").alias(f"{id_name}_traits"),
+        F.xxhash64("segment", "first", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size")))
         .bitwiseAND(F.lit(~_EDITS)).bitwiseOR(F.col("edits").cast("long")).alias("key"),
     )
 
@@ -232,59 +249,79 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _letter_counts(line: Column) -> Column:
-    """Counts of the letters of `LETTERS`, modulo 4, two bits each."""
-    n = F.octet_length(line)
-    packed = F.lit(0).cast("long")
+def _traits(line: Column, n: Column) -> Column:
+    """Counts of the letters of `LETTERS`, modulo 8, three bits each, and the length modulo 32 above them."""
+    size = F.octet_length(line)
+    packed = F.shiftleft(n.bitwiseAND(F.lit(31)).cast("long"), 3 * len(LETTERS))
     for i, letter in enumerate(LETTERS):
-        count = n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        packed = packed + F.shiftleft(count.bitwiseAND(F.lit(3)).cast("long"), 2 * i)
+        count = size - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed + F.shiftleft(count.bitwiseAND(F.lit(7)).cast("long"), 3 * i)
     return packed
 
 
+def _longer(a: Column, b: Column) -> Column:
+    """By how much the second line is longer, modulo 32."""
+    place = 3 * len(LETTERS)
+    return (F.shiftright(b, place) - F.shiftright(a, place)).bitwiseAND(F.lit(31))
+
+
 def _count_gap(a: Column, b: Column) -> Column:
-    """At most the sum of the differences of the letter counts of two packed ids."""
+    """At most the sum of the differences of the letter counts of two lines, by their traits."""
     gap = F.lit(0)
     for i in range(len(LETTERS)):
-        place = _HASH_BITS + 2 * i
-        apart = (F.shiftrightunsigned(a, place) - F.shiftrightunsigned(b, place)).bitwiseAND(F.lit(3))
-        gap = gap + apart - F.shiftright(apart, 1).bitwiseAND(apart) * 2
+        apart = (F.shiftright(a, 3 * i) - F.shiftright(b, 3 * i)).bitwiseAND(F.lit(7))
+        gap = gap + F.least(apart, 8 - apart)
     return gap
 
 
 def meeting_lines(lines: DataFrame) -> DataFrame:
-    """`line_id`, `line` for every different line; the id holds letter counts above a hash.
+    """`line_id`, `line`, `n` (length), `traits` for every different line; the id is a hash.
 
     Different lines can share an id: it only serves to find candidates.
     """
-    line_hash = F.xxhash64("line").bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
     return lines.select("line").distinct().select(
-        F.shiftleft(_letter_counts(F.col("line")), _HASH_BITS).bitwiseOR(line_hash).alias("line_id"), "line"
+        F.xxhash64("line").bitwiseAND(F.lit(_ID)).alias("line_id"), "line", F.char_length("line").alias("n"),
+        _traits(F.col("line"), F.char_length("line")).alias("traits"),
     )
 
 
 def candidate_pairs(different: DataFrame, bands: Bands) -> DataFrame:
     """`a`, `b` (a < b): ids of different lines that meet under a segment key and can be within reach."""
-    cut = different.select("line_id", F.char_length("line").alias("n"), wide(F.col("line")).alias("text"))
-    # A longer line has its sign bit set.  Lines of one length probe each other; one direction is enough.
-    a, b = F.col("a"), F.col("b").bitwiseAND(F.lit(_ID))
+    cut = different.where(F.col("n") >= bands[0][0]).select("line_id", "traits", "n", wide(F.col("line")).alias("text"))
+    a, b = F.col("a"), F.col("b")
+    longer = _longer(F.col("a_traits"), F.col("b_traits"))
+    edits = F.col("key").bitwiseAND(F.lit(_EDITS))
+    # The shorter line is looked for; of two of one length either finds the other, and one direction is enough.
+    open_pair = (
+        (longer <= edits) & ((longer > 0) | (a < b)) & (a != b)
+        & (_count_gap(F.col("a_traits"), F.col("b_traits")) + longer <= 2 * edits)
+    )
     found = []
-    # Keys of different segments never meet: one segment after another keeps the shuffles small.
-    for segment in range(bands[-1][1] + 1):
-        held = tuple(x for x in bands if x[1] >= segment)
-        some = cut.where(F.col("n") >= held[0][0])
-        index = segment_keys(some, lambda edits, i=segment: [(0, i, 0)], held, "a")
-        probe = segment_keys(some, lambda edits, i=segment: [r for r in segment_reads(edits) if r[1] == i], held, "b")
-        met = index.join(probe, "key").where(
-            ((F.col("b") < 0) | (a < b)) & (a != b) & (_count_gap(a, b) <= 2 * F.col("key").bitwiseAND(F.lit(_EDITS)))
-        )
-        found.append(stage(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), f"segment{segment}"))
+    # Keys of different segments never meet: a few of them after others keep the shuffles small.
+    for i, held in enumerate(_rounds(bands)):
+        index = segment_keys(cut, lambda edits, held=held: [(s, 0) for s, t in segment_reads(edits) if s in held and not t], bands, "a", False)
+        probe = segment_keys(cut, lambda edits, held=held: [r for r in segment_reads(edits) if r[0] in held], bands, "b", True)
+        met = index.join(probe, "key").where(open_pair)
+        found.append(stage(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), f"segments{i}"))
     pairs = stage(reduce(DataFrame.union, found).distinct(), "candidates")
     for part in found:
         unstage(part)
     return pairs
 
 
+def _rounds(bands: Bands) -> list[set[int]]:
+    """The segments in groups of about `READS` reads a line."""
+    rounds, room = [], 0
+    for segment in sorted({s for s, _ in segment_reads(bands[-1][1])}, key=lambda s: (abs(s + 0.5), s)):
+        reads = 1 + len(_shifts(segment))
+        if reads > room:
+            rounds.append(set())
+            room = READS
+        rounds[-1].add(segment)
+        room -= reads
+    return rounds
+
+
 def _common(take: Callable[[Column, Column], Column], a: Column, b: Column, most: Column) -> Column:
     """How many characters two texts share at one end (`take`), `most` at most, by halving."""
     rounds = F.ceil(F.log2(most + 1)).cast("int")
@@ -367,7 +404,7 @@ def line_links(lines: DataFrame, bands: Bands) -> DataFrame:
     ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
     few = ends.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     some = different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi")
-    texts = stage(some.select("line_id", "line", F.char_length("line").alias("n"), _counts(F.col("line")).alias("counts")), "texts")
+    texts = stage(some.select("line_id", "line", "n", _counts(F.col("line")).alias("counts")), "texts")
     unstage(different)
     left = texts.toDF("a", "line_a", "n_a", "counts_a")
     right = texts.toDF("b", "line_b", "n_b", "counts_b")

@@ -92,3 +92,60 @@ def test_counts_tell_lines_apart_that_edits_cannot_reconcile(spark):
         lost = sum((Counter(r.a) - Counter(r.b)).values())
         if lost == 0 and len(r.b) - len(r.a) > allowed:
             assert not r.open, r
+
+
+def test_a_segment_of_every_near_pair_is_found(spark):
+    """Edits packed anywhere, lengths on both sides of every class: one read meets one segment."""
+    rng = random.Random(11)
+    lines = []
+    for length in (6, 7, 8, 9, 14, 58, 59, 60, 61, 77, 78, 79, 80, 84, 118, 119, 120, 121, 125, 155, 156, 160, 300):
+        for _ in range(12):
+            a = "".join(rng.choice("ab é") for _ in range(length - 1)) + "."
+            allowed = next(e for least, e in reversed(line_edit_dedup.BANDS) if length >= least)
+            b, at = list(a), rng.randrange(length)
+            for _ in range(allowed):  # in one place, or all over
+                place = min(at, len(b)) if rng.random() < 0.5 else rng.randrange(len(b) + 1)
+                b[place:place + rng.randrange(2)] = rng.choice(["", "x", "y"])
+            lines += [a, "".join(b)]
+    frame = spark.createDataFrame([(x,) for x in dict.fromkeys(lines)], "line string")
+    different = line_edit_dedup.meeting_lines(frame).localCheckpoint()
+    line_of = {r.line_id: r.line for r in different.collect()}
+    pairs = line_edit_dedup.candidate_pairs(different, line_edit_dedup.BANDS).collect()
+    got = {frozenset((line_of[r.a], line_of[r.b])) for r in pairs}
+    assert len(got) == len(pairs)
+    near = 0
+    for a, b in zip(lines[::2], lines[1::2]):
+        short = min(len(a), len(b))
+        allowed = next((e for least, e in reversed(line_edit_dedup.BANDS) if short >= least), 0)
+        if a != b and edit_distance(a, b) <= allowed:
+            near += 1
+            assert frozenset((a, b)) in got, (a, b)
+    assert near > 150
+
+
+def test_a_line_is_looked_for_at_few_places(spark):
+    """The lines of one class share their segments: no read for every length, and few rows to a join."""
+    from pyspark.sql import functions as F
+
+    assert {e: len(line_edit_dedup.segment_reads(e)) for e in (2, 3, 4, 6)} == {2: 5, 3: 8, 4: 13, 6: 25}
+    lines = [("".join(chr(97 + (i * k) % 26) for k in range(1, 161)) + str(i),) for i in range(1, 20)]
+    different = line_edit_dedup.meeting_lines(spark.createDataFrame(lines, "line string"))
+    cut = different.select("line_id", "traits", "n", line_edit_dedup.wide(F.col("line")).alias("text"))
+    probe = line_edit_dedup.segment_keys(cut, line_edit_dedup.segment_reads, line_edit_dedup.BANDS, "b", True)
+    assert probe.count() <= 2 * 25 * len(lines)
+
+
+def test_variants_of_a_sentence_are_told_apart_before_they_are_paired(spark):
+    """Lines that share all but two words meet under most segments; few of the pairs are made."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghiklmnoprstuvwy") for _ in range(rng.randint(5, 9))) for _ in range(400)]
+    base = [rng.choice(words) for _ in range(30)]
+    lines = set()
+    while len(lines) < 150:
+        new = list(base)
+        for at in rng.sample(range(30), 2):
+            new[at] = rng.choice(words)
+        lines.add(" ".join(new))
+    different = line_edit_dedup.meeting_lines(spark.createDataFrame([(x,) for x in lines], "line string")).localCheckpoint()
+    pairs = line_edit_dedup.candidate_pairs(different, line_edit_dedup.BANDS).count()
+    assert pairs < 0.3 * 150 * 149 / 2
