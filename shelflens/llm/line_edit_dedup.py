@@ -7,12 +7,16 @@ occurs unchanged in the longer, the i-th from either end moved by i places at
 most.  Were none of them found so, i + 1 edits would be needed up to the i-th,
 from both ends more than allowed.  The size is fixed by a class of lengths, so a
 line looks for segments of its own class and of those that a shorter line within
-reach can be in, not of every length.  Each line is written under its own
-segments (index) and under the substrings that could be such a segment (probe).
-Lines that meet under a key are candidates if their lengths and their counts of
-some letters can be reconciled by the edits allowed (an edit changes two counts
-by one at most), which keeps the many variants of one sentence from being paired
-with each other.  Candidates are
+reach can be in, not of every length.
+
+A segment is known by the least hash of its grams (of one length, given by its
+size).  Equal segments have equal least hashes, and of the places where a segment
+is looked for, one beside the other, most share theirs.  So a line is written
+under few keys.  All lines are dealt by key once, and those that meet none of a
+length within reach are gone before any pair is made.  Lines that meet are
+candidates if their lengths and the counts of their letters on either side of
+seven splits can be reconciled by the edits allowed, which keeps the many variants
+of one sentence from being paired with each other.  Candidates are
 verified by edit distance over a diagonal band of `2 * max_edits + 1` cells held
 in the bits of one number.
 
@@ -32,7 +36,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..staging import stage, unstage
 
@@ -40,13 +44,21 @@ from ..staging import stage, unstage
 BANDS = ((6, 2), (60, 3), (80, 4), (120, 6))
 #: Shorter lines are compared for equality only; segments need more than twice the edits.
 MIN_CHARS = BANDS[0][0]
+#: (size, grams): of so many neighbouring grams of a segment of that size or more the least hash stands for it; powers of two.
+GRAMS = ((8, 2), (15, 4), (21, 8))
 #: Letters whose counts candidates must nearly share; any choice is right, frequent ones tell most.
-LETTERS = "etnaisrohdlucmpgfy "
-#: Rows that a line gives to one join, about.
-READS = 12
-#: The bits of a key that hold the edits allowed.
-_EDITS = 15
-_ID = (1 << 63) - 1
+LETTERS = " etnaisrohdluc"
+#: Lines are split at this many places less one, to compare the counts on either side.
+PARTS = 8
+#: The bits of a line's number that hold by how much a line of the class is shorter at least; of a key, the edits allowed.
+_LESS = 4
+_EDITS = (1 << _LESS) - 1
+#: Six more hold by how much the line is longer than the shortest of the class, this much or more.
+_OVER = 63
+_ID = (1 << (63 - 6 - _LESS - 1)) - 1
+#: One and seven in each of 15 fields of four bits.
+_ONES = 0x0111111111111111
+_FIELDS = 7 * _ONES
 #: Candidate lines up to this number are sent to the tasks; beyond it they are joined by shuffle.
 BROADCAST_LINES = 500_000
 
@@ -79,57 +91,93 @@ def _shifts(segment: int) -> range:
 
 def _edits(length: Column, bands: Bands) -> Column:
     """Edits allowed where the shorter line has this length."""
-    allowed = F.lit(bands[0][1])
-    for least, edits in bands[1:]:
-        allowed = F.when(length >= least, edits).otherwise(allowed)
-    return allowed
+    table = [max((e for least, e in bands if least <= n), default=bands[0][1]) for n in range(bands[-1][0] + 1)]
+    return F.get(F.lit(table), F.greatest(F.least(length, F.lit(bands[-1][0])), F.lit(0)))
 
 
-def _class(n: Column, bands: Bands) -> Column:
-    """The class of a length: the edits allowed, its first length and the one behind its last."""
-    found = F.lit(None)
-    for (least, edits), (end, _) in zip(bands, (*bands[1:], (None, None)), strict=True):
+def _first(n: Column, bands: Bands) -> Column:
+    """The first length of the class of a length; 0 below the first band."""
+    table = [0] * bands[0][0]
+    for (least, edits), (end, _) in zip(bands, bands[1:]):
         width = edits + least // 4
-        at = F.floor((n - least) / width).cast("int")
-        first, behind = at * width + least, (at + 1) * width + least
-        if end is not None:  # what is left over belongs to the last class
-            last = max((end - least) // width, 1) - 1
-            first = F.least(first, F.lit(last * width + least))
-            behind = F.when(at >= last, F.lit(end)).otherwise(behind)
-        found = F.when(n >= least, F.struct(
-            F.lit(edits).alias("edits"), first.cast("int").alias("first"), behind.cast("int").alias("behind"),
-        )).otherwise(found)
-    return found
-
-
-def _classes(n: Column, bands: Bands) -> Column:
-    """The classes of the line's own length and of those that a shorter line within reach may have."""
-    return F.array_distinct(F.array(*[_class(n - less, bands) for less in range(bands[-1][1] + 1)]))
+        last = max((end - least) // width, 1) - 1  # what is left over belongs to the last class
+        table += [min((at - least) // width, last) * width + least for at in range(least, end)]
+    least, edits = bands[-1]
+    return F.when(n < least, F.get(F.lit(table), F.greatest(n, F.lit(0)))).otherwise(n - (n - least) % (edits + least // 4))
 
 
 def segment_keys(cut: DataFrame, reads_of: Callable[[int], list[tuple[int, int]]], bands: Bands, id_name: str, shorter: bool) -> DataFrame:
-    """`key`, `id_name` and its `traits` per line and read; lines as `line_id`, `traits`, `n` (length) and `text` (wide).
-
-    `shorter`: for every class within reach, not the line's own only.  The edits
-    stand in the last bits of the key.  One row per read keeps the generated code
+    """`key`, `id_name` per line and gram that stands for a segment; lines as `line_id`, `n` (length) and `text` (wide).
+
+    A segment is known by the least hash of its grams, so that the places where it
+    is looked for, one beside the other, give few different keys.  `shorter`: for
+    every class within reach, not the line's own only.  The last bits of `id_name`
+    hold by how much a line of the class is shorter at least and whether the key is
+    of the line's own segment, the first by how much the line is longer than the
+    shortest of the class.  One row per segment, and the grams in steps, keep the generated code
     small enough to be compiled.
     """
     n = F.col("n")
-    classes = _classes(n, bands) if shorter else F.array(_class(n, bands))
-    named = cut.select("line_id", "traits", "n", "text", F.inline(classes)).where(n < F.col("behind") + F.col("edits"))
+    reach = range(bands[-1][1] + 1 if shorter else 1)
+    # By how much a line of a class is shorter at least.
+    near = cut.select("line_id", "n", "text", *[_first(n - less, bands).alias(f"first{less}") for less in reach])
+    classes = F.array(*[
+        F.when((F.col(f"first{less}") > 0) & ((F.col(f"first{less}") != F.col(f"first{max(less - 1, 0)}")) | F.lit(less == 0)), less)
+        for less in reach
+    ])
+    named = near.select("line_id", "n", "text", F.explode(classes).alias("less")).where("less IS NOT NULL")
+    short = n - F.col("less")
+    sized = named.select(
+        "line_id", "n", "text", "less", _first(short, bands).alias("first"), _edits(short, bands).alias("edits")
+    ).where("edits >= less")
+    reads = {edits: reads_of(edits) for _, edits in bands}
+    most = max(shift for held in reads.values() for _, shift in held)
     listed = F.lit(None)
-    for _, edits in bands:
-        held = [F.struct(F.lit(segment).alias("segment"), F.lit(shift).alias("shift")) for segment, shift in reads_of(edits)]
-        if held:
-            listed = F.when(F.col("edits") == edits, F.array(*held)).otherwise(listed)
+    for edits, held in reads.items():
+        moved = {segment: max(shift for s, shift in held if s == segment) for segment, _ in held}
+        places = [F.struct(F.lit(segment).alias("segment"), F.lit(far).alias("far")) for segment, far in moved.items()]
+        listed = F.when(F.col("edits") == edits, F.array(*places)).otherwise(listed)
     size = F.floor(F.col("first") / (F.col("edits") + 1)).cast("int")
-    each = named.select("line_id", "traits", "n", "text", "edits", "first", size.alias("size"), F.inline(listed))
-    begin = F.col("segment") * F.col("size") + F.when(F.col("segment") < 0, n).otherwise(0) + F.col("shift")
-    placed = each.select("line_id", "traits", "n", "text", "edits", "first", "size", "segment", begin.alias("start"))
-    return placed.where("start >= 0 AND start + size <= n").select(
-        F.col("line_id").alias(id_name), F.col("traits").alias(f"{id_name}_traits"),
-        F.xxhash64("segment", "first", F.substring("text", 4 * F.col("start") + 1, 4 * F.col("size")))
-        .bitwiseAND(F.lit(~_EDITS)).bitwiseOR(F.col("edits").cast("long")).alias("key"),
+    grams, widest = F.lit(1), GRAMS[-1][1]
+    for least, held in GRAMS:
+        grams = F.when(F.col("size") >= least, held).otherwise(grams)
+    over = F.least(n - F.col("first"), F.lit(_OVER)).cast("long")
+    line = F.shiftleft(over, 63 - 6).bitwiseOR(F.shiftleft("line_id", _LESS + 1)).bitwiseOR(F.shiftleft(F.col("less"), 1).cast("long"))
+    each = sized.select("text", "n", line.alias("line"), "less", "first", "edits", size.alias("size"), F.inline(listed)).select(
+        "text", "n", "line", "less", "size", "far", grams.alias("grams"),
+        (F.col("segment") * F.col("size") + F.when(F.col("segment") < 0, n).otherwise(0)).alias("start"),
+        F.xxhash64("first", "segment").alias("salt"), "edits",
+    )
+    start, far, grams = F.col("start"), F.col("far"), F.col("grams")
+    placed = each.select(
+        "text", "line", "less", "grams", "salt", "edits", "far", (far + grams).alias("end"),
+        F.greatest(-far, -start).alias("low"), F.least(far, n - F.col("size") - start).alias("high"),
+        (4 * start + 1).alias("begin"), (4 * (F.col("size") - grams + 1)).alias("long"),
+    )
+    passed = ["line", "less", "grams", "low", "high", "salt", "edits"]
+    steps = placed.select(*passed, *[
+        F.when((far >= -at) & (F.col("end") > at), F.xxhash64(F.substring("text", F.col("begin") + 4 * at, F.col("long")))).alias(f"at{at}")
+        for at in range(-most, most + widest)
+    ])
+    # The least of 2, 4, ... neighbours.
+    behind, over = most + widest, 1
+    while over < widest:
+        behind -= over
+        steps = steps.select(*passed, *[
+            F.when(grams > over, F.least(f"at{at}", f"at{at + over}")).otherwise(F.col(f"at{at}")).alias(f"at{at}")
+            for at in range(-most, behind)
+        ])
+        over *= 2
+    held = steps.select("line", "less", "salt", "edits", *[
+        F.when((F.col("low") <= at) & (F.col("high") >= at), F.col(f"at{at}")).alias(f"at{at}") for at in range(-most, most + 1)
+    ])
+    runs = F.array(F.col(f"at{-most}"), *[
+        F.when(~F.col(f"at{at}").eqNullSafe(F.col(f"at{at - 1}")), F.col(f"at{at}")) for at in range(1 - most, most + 1)
+    ])
+    own = (F.col("less") == 0) & (F.col("gram") == F.col("at0"))
+    return held.select("line", "less", "at0", "salt", "edits", F.explode(runs).alias("gram")).where("gram IS NOT NULL").select(
+        F.col("line").bitwiseOR(F.coalesce(own, F.lit(False)).cast("long")).alias(id_name),
+        F.xxhash64("salt", "gram").bitwiseAND(F.lit(~_EDITS)).bitwiseOR(F.col("edits").cast("long")).alias("key"),
     )
 
 
@@ -243,83 +291,151 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         docs[id_col].alias("doc_id"), F.xxhash64(text).alias("text_key"),
         F.posexplode(F.split(text, "\n")).alias("pos", "line"),
     )
-    return cut.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
+    return cut.where(F.ltrim("line", F.lit(" \t\n\x0b\x0c\r")) != "").select(
         "doc_id", "text_key", "pos", "line",
         *_line_hashes("line", "line"),
     )
 
 
-def _traits(line: Column, n: Column) -> Column:
-    """Counts of the letters of `LETTERS`, modulo 8, three bits each, and the length modulo 32 above them."""
-    size = F.octet_length(line)
-    packed = F.shiftleft(n.bitwiseAND(F.lit(31)).cast("long"), 3 * len(LETTERS))
-    for i, letter in enumerate(LETTERS):
-        count = size - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        packed = packed + F.shiftleft(count.bitwiseAND(F.lit(7)).cast("long"), 3 * i)
-    return packed
+def _packed(piece: Column) -> Column:
+    """Counts of the letters of `LETTERS` and of all other characters, modulo 8, four bits each."""
+    size = F.octet_length(piece)
+    counts = [size - F.octet_length(F.replace(piece, F.lit(letter), F.lit(""))) for letter in LETTERS]
+    fields = [*counts, F.char_length(piece) - reduce(Column.__add__, counts)]
+    return reduce(Column.bitwiseOR, [F.shiftleft(c.bitwiseAND(F.lit(7)).cast("long"), 4 * i) for i, c in enumerate(fields)])
+
+
+def _ringed(x: Column) -> Column:
+    """Fields that differ in as many bits as their numbers differ, modulo 8: 0, 1, 11, 111, 1111, 1110, 1100, 1000."""
+    low, middle, high = (F.shiftright(x, i).bitwiseAND(F.lit(_ONES)) for i in range(3))
+    return (
+        high.bitwiseXOR(low.bitwiseOR(middle))
+        .bitwiseOR(F.shiftleft(high.bitwiseXOR(middle), 1))
+        .bitwiseOR(F.shiftleft(high.bitwiseXOR(low.bitwiseAND(middle)), 2))
+        .bitwiseOR(F.shiftleft(high, 3))
+    )
 
 
-def _longer(a: Column, b: Column) -> Column:
-    """By how much the second line is longer, modulo 32."""
-    place = 3 * len(LETTERS)
-    return (F.shiftright(b, place) - F.shiftright(a, place)).bitwiseAND(F.lit(31))
+def _traits(lines: DataFrame, bands: Bands) -> DataFrame:
+    """`who`, `line_id`, `n`, `traits`: the letter counts of parts of every line; lines as `who`, `line_id`, `n`, `line`.
 
+    The parts: the first 1, 2, ... `PARTS - 1` eighths of the least length of the
+    class, from the beginning, then as many from the end; the same places in any two
+    lines of the class.  One row per eighth keeps the generated code small.
+    """
+    ends = 2 * (PARTS - 1)
+    size = F.floor(_first(F.col("n") - _less("who"), bands) / PARTS).cast("int")
+    other = F.xxhash64("line", F.lit("second")).alias("check")  # lines that share an id stay apart
+    cut = lines.select("who", "line_id", "n", "line", other, size.alias("size"), F.explode(F.sequence(F.lit(0), F.lit(ends - 1))).alias("at"))
+    begin = F.when(F.col("at") < PARTS - 1, F.col("at") * F.col("size")).otherwise(F.col("n") - (F.col("at") - PARTS + 2) * F.col("size"))
+    pieces = cut.select("who", "line_id", "n", "check", "at", F.substring("line", begin + 1, F.col("size")).alias("piece"))
+    each = pieces.select("who", "line_id", "n", "check", "at", _packed(F.col("piece")).alias("packed"))
+    line = each.groupBy("who", "line_id", "n", "check").agg(*[F.max(F.when(F.col("at") == i, F.col("packed"))).alias(f"at{i}") for i in range(ends)])
+    sums = []
+    for i in range(ends):
+        sums.append(F.col(f"at{i}") if i % (PARTS - 1) == 0 else (sums[-1] + F.col(f"at{i}")).bitwiseAND(F.lit(_FIELDS)))
+    added = line.select("who", "line_id", "n", *[x.alias(f"at{i}") for i, x in enumerate(sums)])
+    return added.select("who", "line_id", "n", F.array(*[_ringed(F.col(f"at{i}")) for i in range(ends)]).alias("traits"))
+
+
+def _open_splits(a: Column, b: Column, edits: Column) -> Column:
+    """Whether the counts of two lines leave it open, wherever they are split, that they are within the edits.
+
+    Edits in the first p characters of one line change the counts of the first p of
+    the other by as many letters lost and gained at most, and so from the end.
+    Parts that do not overlap share no edit: the differences of both add up to twice
+    the edits at most.
+    """
+    def apart(i: int) -> Column:
+        return F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i)))
 
-def _count_gap(a: Column, b: Column) -> Column:
-    """At most the sum of the differences of the letter counts of two lines, by their traits."""
-    gap = F.lit(0)
-    for i in range(len(LETTERS)):
-        apart = (F.shiftright(a, 3 * i) - F.shiftright(b, 3 * i)).bitwiseAND(F.lit(7))
-        gap = gap + F.least(apart, 8 - apart)
-    return gap
+    return reduce(Column.__and__, [apart(i) + apart(2 * PARTS - 3 - i) <= 2 * edits for i in range(PARTS - 1)])
 
 
 def meeting_lines(lines: DataFrame) -> DataFrame:
-    """`line_id`, `line`, `n` (length), `traits` for every different line; the id is a hash.
+    """`line_id`, `line`, `n` (length), `copies`, `traits` (letter counts) for every different line; the id is a hash.
 
     Different lines can share an id: it only serves to find candidates.
     """
-    return lines.select("line").distinct().select(
-        F.xxhash64("line").bitwiseAND(F.lit(_ID)).alias("line_id"), "line", F.char_length("line").alias("n"),
-        _traits(F.col("line"), F.char_length("line")).alias("traits"),
+    n = F.char_length("line")
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("copies")).select(
+        F.xxhash64("line").bitwiseAND(F.lit(_ID)).alias("line_id"), "line", n.alias("n"), "copies", _packed(F.col("line")).alias("traits"),
     )
 
 
-def candidate_pairs(different: DataFrame, bands: Bands) -> DataFrame:
-    """`a`, `b` (a < b): ids of different lines that meet under a segment key and can be within reach."""
-    cut = different.where(F.col("n") >= bands[0][0]).select("line_id", "traits", "n", wide(F.col("line")).alias("text"))
-    a, b = F.col("a"), F.col("b")
-    longer = _longer(F.col("a_traits"), F.col("b_traits"))
+def _met(different: DataFrame, bands: Bands) -> DataFrame:
+    """`key`, `line`: of the keys of all lines those under which different lines meet."""
+    cut = different.where(F.col("n") >= bands[0][0]).select("line_id", "n", wide(F.col("line")).alias("text"))
+    keys = segment_keys(cut, segment_reads, bands, "line", True)
+    keyed = Window.partitionBy("key")
+    alone = keys.select("key", "line", F.count(F.lit(1)).over(keyed).alias("lines"))
+    group = keyed.orderBy("line")
+
+    def over(line: Column) -> Column:
+        return F.shiftright(line, 63 - 6)
+
+    # Lines come by length: where the next to either side is too far, all are.
+    seen = alone.where("lines > 1").select("key", "line", F.lag("line").over(group).alias("before"), F.lead("line").over(group).alias("behind"))
     edits = F.col("key").bitwiseAND(F.lit(_EDITS))
+    close = (over(F.col("line")) - over(F.col("before")) <= edits) | (over(F.col("behind")) - over(F.col("line")) <= edits)
+    return stage(seen.where(close).select("key", "line"), "met")
+
+
+def _meeting(different: DataFrame, bands: Bands) -> tuple[DataFrame, DataFrame]:
+    """`met`, and of the lines those that it names."""
+    met = _met(different, bands)
+    ids = stage(met.select(_id("line").alias("line_id")).distinct(), "met-lines")
+    some = stage(different.select("line_id", "line", "n").join(_small(ids), "line_id", "left_semi"), "met-texts")
+    unstage(ids)
+    return met, some
+
+
+def _less(line: str) -> Column:
+    return F.shiftright(line, 1).bitwiseAND(F.lit((1 << _LESS) - 1)).cast("int")
+
+
+def _id(line: str) -> Column:
+    return F.shiftright(line, _LESS + 1).bitwiseAND(F.lit(_ID))
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else ids
+
+
+def _open_pairs(met: DataFrame, some: DataFrame, bands: Bands) -> DataFrame:
+    """A pair that meets under several keys is made under the least of them."""
+    who, own = F.col("line").bitwiseAND(F.lit(~1)), F.col("line").bitwiseAND(F.lit(1)) == 1
+    known = met.groupBy(who.alias("who")).agg(
+        F.collect_set(F.when(own, F.col("key"))).alias("own_keys"), F.collect_set("key").alias("keys"),
+    )
+    named = met.select(who.alias("who")).distinct().withColumn("line_id", _id("who"))
+    traits = stage(_traits(named.join(some, "line_id"), bands).join(known, "who"), "traits")
+    rows = met.select("key", own.alias("own"), who.alias("who")).join(traits, "who")
+    index = rows.where("own").select("key", *[F.col(c).alias(f"a_{c}") for c in ("line_id", "n", "own_keys", "traits")])
+    probe = rows.select("key", *[F.col(c).alias(f"b_{c}") for c in ("line_id", "n", "keys", "traits")])
+    a, b, longer, edits = F.col("a_line_id"), F.col("b_line_id"), F.col("b_n") - F.col("a_n"), _edits(F.col("a_n"), bands)
     # The shorter line is looked for; of two of one length either finds the other, and one direction is enough.
     open_pair = (
-        (longer <= edits) & ((longer > 0) | (a < b)) & (a != b)
-        & (_count_gap(F.col("a_traits"), F.col("b_traits")) + longer <= 2 * edits)
+        (longer >= 0) & (longer <= edits) & ((longer > 0) | (a < b)) & (a != b)
+        & _open_splits(F.col("a_traits"), F.col("b_traits"), edits)
+        & (F.col("key") == F.array_min(F.array_intersect("a_own_keys", "b_keys")))
     )
-    found = []
-    # Keys of different segments never meet: a few of them after others keep the shuffles small.
-    for i, held in enumerate(_rounds(bands)):
-        index = segment_keys(cut, lambda edits, held=held: [(s, 0) for s, t in segment_reads(edits) if s in held and not t], bands, "a", False)
-        probe = segment_keys(cut, lambda edits, held=held: [r for r in segment_reads(edits) if r[0] in held], bands, "b", True)
-        met = index.join(probe, "key").where(open_pair)
-        found.append(stage(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), f"segments{i}"))
-    pairs = stage(reduce(DataFrame.union, found).distinct(), "candidates")
-    for part in found:
-        unstage(part)
+    made = index.join(probe, "key").where(open_pair)
+    pairs = stage(made.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "candidates")
+    unstage(traits)
     return pairs
 
 
-def _rounds(bands: Bands) -> list[set[int]]:
-    """The segments in groups of about `READS` reads a line."""
-    rounds, room = [], 0
-    for segment in sorted({s for s, _ in segment_reads(bands[-1][1])}, key=lambda s: (abs(s + 0.5), s)):
-        reads = 1 + len(_shifts(segment))
-        if reads > room:
-            rounds.append(set())
-            room = READS
-        rounds[-1].add(segment)
-        room -= reads
-    return rounds
+def candidate_pairs(different: DataFrame, bands: Bands) -> DataFrame:
+    """`a`, `b` (a < b): ids of different lines that meet under a segment key and can be within reach.
+
+    No pair is made before the lines that meet nothing are gone.
+    """
+    met, some = _meeting(different, bands)
+    pairs = _open_pairs(met, some, bands)
+    for part in (met, some):
+        unstage(part)
+    return pairs
 
 
 def _common(take: Callable[[Column, Column], Column], a: Column, b: Column, most: Column) -> Column:
@@ -394,18 +510,19 @@ def within_reach(a: Column, b: Column, bands: Bands) -> Column:
     return near(F.char_length(a), F.char_length(b))
 
 
-def line_links(lines: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs of different lines within the edits of `bands`, each in both directions.
+def line_links(different: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs of different lines within the edits of `bands`, each in both directions; the staged lines are freed.
 
     `a_key`, `a_check`, `b_key`, `b_check`: the two hashes of either line.
     """
-    different = stage(meeting_lines(lines), "different-lines")
-    pairs = candidate_pairs(different, bands)
-    ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
-    few = ends.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    some = different.join(F.broadcast(ends) if few else ends, "line_id", "left_semi")
-    texts = stage(some.select("line_id", "line", "n", _counts(F.col("line")).alias("counts")), "texts")
+    met, some = _meeting(different, bands)
     unstage(different)
+    pairs = _open_pairs(met, some, bands)
+    unstage(met)
+    ends = stage(pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct(), "candidate-lines")
+    paired = some.join(_small(ends), "line_id", "left_semi")
+    texts = stage(paired.select("line_id", "line", "n", _counts(F.col("line")).alias("counts")), "texts")
+    unstage(some)
     left = texts.toDF("a", "line_a", "n_a", "counts_a")
     right = texts.toDF("b", "line_b", "n_b", "counts_b")
     # Counted once a line, compared before anything of a pair is cut or followed.
@@ -432,7 +549,7 @@ def line_verdicts(
     docs: DataFrame, bands: Bands = BANDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """A row per line that takes part: `doc_id`, `text_key`, `pos`, `n_links`, `exact`, `near`.
+    """A row per line that occurs again or is near to another: `doc_id`, `text_key`, `pos`, `n_links`, `exact`, `near`.
 
     `exact`: an equal line stands earlier; `near`: one within the edits of `bands`
     does; `n_links`: different lines within them.
@@ -440,13 +557,16 @@ def line_verdicts(
     if any(least <= 2 * e or e > _EDITS for least, e in bands) or any(a >= c or b > d for (a, b), (c, d) in zip(bands, bands[1:])):
         raise ValueError(f"bands must rise, with lines of more than twice the edits and {_EDITS} edits at most")
     lines = _lines(docs, id_col, text_col)
-    links = line_links(lines, bands)
-    places = stage(lines.drop("line"), "places")
+    line = ["line_key", "line_check"]
+    different = stage(meeting_lines(lines).drop("traits"), "different-lines")
+    repeated = stage(different.where("copies > 1").select(*_line_hashes("line", "line")), "repeated-lines")
+    links = line_links(different, bands)
+    told = stage(repeated.union(links.select("a_key", "a_check")).distinct(), "told-lines")
+    places = stage(lines.drop("line").join(_small(told), line, "left_semi"), "places")
     distinct = stage(
         places.groupBy("line_key", "line_check").agg(F.min(_place()).alias("first")), "distinct-lines"
     )
     # Only lines that link to another go through these joins.
-    line = ["line_key", "line_check"]
     linked = distinct.join(links.select("a_key", "a_check").toDF(*line).distinct(), line)
     near = (
         links.join(linked.select(*line, F.col("first").alias("own")).toDF("a_key", "a_check", "own"), ["a_key", "a_check"])
@@ -487,24 +607,28 @@ def dedup_lines(
     joined = held.join(
         per_doc, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key")), "left"
     )
-    cut = F.split("_text", "\n")
-    dropped = F.col("dropped")
-    before = F.when(F.size(dropped) > 0, dropped)
-    # The runs of lines between one dropped line and the next.
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size(before)),
-        lambda i: _let(
-            F.coalesce(F.get(before, i - 1), F.lit(-1)) + 1,
-            lambda start: F.slice(
-                cut, start + 1, F.coalesce(F.get(before, i), F.size(cut)) - start
+    before = F.when(F.size("dropped") > 0, F.col("dropped"))
+
+    def rest(both: Column) -> Column:
+        """The runs of lines between one dropped line and the next; the text is cut once."""
+        at, cut = both["at"], both["cut"]
+        return F.flatten(F.transform(
+            F.sequence(F.lit(0), F.size(at)),
+            lambda i: _let(
+                F.coalesce(F.get(at, i - 1), F.lit(-1)) + 1,
+                lambda start: F.slice(cut, start + 1, F.coalesce(F.get(at, i), F.size(cut)) - start),
             ),
-        ),
-    )
+        ))
+
+    kept = F.when(before.isNotNull(), F.array_join(
+        _let(F.struct(before.alias("at"), F.split("_text", "\n").alias("cut")), rest), "\n"
+    ))
+    n_lines = F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1
     zero = F.lit(0).cast("long")
     return joined.select(
         "row",
-        F.coalesce(F.array_join(F.flatten(runs), "\n"), F.col("_text")).alias("lines_kept"),
-        F.greatest(F.size(cut), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(kept, F.col("_text")).alias("lines_kept"),
+        F.coalesce(n_lines.cast("long"), zero).alias("n_lines"),
         *[F.coalesce(c, zero).cast("long").alias(c) for c in ("n_links", "n_exact", "n_near")],
     )
 

@@ -149,3 +149,52 @@ def test_variants_of_a_sentence_are_told_apart_before_they_are_paired(spark):
     different = line_edit_dedup.meeting_lines(spark.createDataFrame([(x,) for x in lines], "line string")).localCheckpoint()
     pairs = line_edit_dedup.candidate_pairs(different, line_edit_dedup.BANDS).count()
     assert pairs < 0.3 * 150 * 149 / 2
+
+
+def test_places_beside_each_other_share_their_keys(spark):
+    """A segment is looked for at 25 places of a long line, under half as many keys."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    lines = [("".join(rng.choice("abcdefghij ") for _ in range(400)),) for _ in range(50)]
+    different = line_edit_dedup.meeting_lines(spark.createDataFrame(lines, "line string"))
+    cut = different.select("line_id", "traits", "n", line_edit_dedup.wide(F.col("line")).alias("text"))
+    keys = line_edit_dedup.segment_keys(cut, line_edit_dedup.segment_reads, line_edit_dedup.BANDS, "b", True)
+    assert 7 * len(lines) <= keys.count() <= 16 * len(lines)
+
+
+def test_variants_changed_in_one_place_each_are_told_apart(spark):
+    """Two of them differ by what either has gained: counts of the whole line cannot tell, counts of its parts can."""
+    rng = random.Random(6)
+    base = "".join(rng.choice("etaoinsrhl dc") for _ in range(400))
+    lines = set()
+    while len(lines) < 150:
+        at = rng.randrange(len(base))
+        lines.add(base[:at] + "".join(rng.choice("etaoin") for _ in range(5)) + base[at:])
+    different = line_edit_dedup.meeting_lines(spark.createDataFrame([(x,) for x in lines], "line string")).localCheckpoint()
+    pairs = line_edit_dedup.candidate_pairs(different, line_edit_dedup.BANDS)
+    line_of = {r.line_id: r.line for r in different.collect()}
+    got = {frozenset((line_of[r.a], line_of[r.b])) for r in pairs.collect()}
+    assert len(got) < 0.5 * 150 * 149 / 2
+    held = sorted(lines)
+    for i, a in enumerate(held[:20]):
+        for b in held[i + 1:20]:
+            assert frozenset((a, b)) in got or edit_distance(a, b) > 6, (a, b)
+
+
+def test_ringed_counts_differ_in_as_many_bits_as_the_counts(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(x, y) for x in range(8) for y in range(8)]
+    frame = spark.createDataFrame(rows, "x long, y long").select(
+        "x", "y", F.bit_count(line_edit_dedup._ringed(F.col("x") * 0x11).bitwiseXOR(line_edit_dedup._ringed(F.col("y") * 0x11))).alias("bits")
+    )
+    assert all(r.bits == 2 * min((r.x - r.y) % 8, (r.y - r.x) % 8) for r in frame.collect())
+
+
+def test_blank_lines_stay_and_repeated_rows_are_no_repetition(spark):
+    """A line of any blanks takes no part; the same row twice holds no line twice."""
+    blank = "\x0b\x0c \t\r"
+    docs = spark.createDataFrame([(1, f"{blank}\none line\n{blank}"), (1, f"{blank}\none line\n{blank}"), (2, "\x1fone\none line")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.lines_kept, r.n_lines, r.n_exact) for r in line_edit_dedup.dedup_lines(docs).select("row.doc_id", "lines_kept", "n_lines", "n_exact").collect())
+    assert got == [(1, f"{blank}\none line\n{blank}", 3, 0)] * 2 + [(2, "\x1fone", 2, 1)]
